@@ -2,12 +2,20 @@
 
 from __future__ import annotations
 
-from vigora.llm import quality, tokens, toxicity
+from vigora.llm import html, lm, mixing, neardup, neighbours, pieces, quality, quotes, tokens, toxicity
 
 QUERIES = {
     "op1_toxicity": toxicity.op1_toxicity,
     "op2_tokens": tokens.op2_tokens,
     "op3_quality": quality.op3_quality,
+    "op4_quotes": quotes.op4_quotes,
+    "op5_pieces": pieces.op5_pieces,
+    "op6_mixing": mixing.op6_mixing,
+    "op7_html": html.op7_html,
+    "op8_neardup": neardup.op8_neardup,
+    "op9_neighbours": neighbours.op9_neighbours,
+    "op10_lm": lm.op10_lm,
 }
 
+#: The learned, hashed and encoding operators have no SQL; tests/llm holds them against brute force.
 ORACLES: dict[str, str] = {}
