@@ -20,3 +20,10 @@ def query(name: str, sql: str | None = None):
         return f
 
     return add
+
+
+def _register() -> None:
+    from vigora.plans import graph_queries, ledger_queries, rate_queries, temporal_queries, text_queries  # noqa: F401
+
+
+_register()
