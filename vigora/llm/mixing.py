@@ -1,9 +1,10 @@
 """Mixing sources to target weights by temperature, in DataFrame operations only.
 
 A source with the share p of all tokens gets the weight p^a / sum(p^a). The
-exponent a is bisected between 0 (all sources alike) and 1 (as they are) until
-the entropy of the weights meets a target, or no source is repeated more than a
-limit. Each step evaluates a row of exponents in one small aggregate.
+exponent a is bisected between 0 (all sources alike) and 1 (as they are), or
+above 1 for an entropy under the sources' own, until the entropy of the weights
+meets a target, or no source is repeated more than a limit. Each step evaluates
+a row of exponents in one small aggregate.
 
 The budget is then realised by blocks: a document's hash puts it in one of
 ``BLOCKS`` blocks of its source. A source gets whole passes, and in the last
@@ -26,19 +27,21 @@ from pyspark.sql import functions as F
 from vigora.llm.common import WORDS, checkpointed, table
 
 BLOCKS_LOG2 = 10
-POINTS, PASSES = 24, 5
+POINTS, PASSES, SHARPEST = 24, 5, 16.0
 #: Sources whose decisions may be broadcast (some 100 bytes each).
 MAX_BROADCAST = 20_000
 MAX_REPEATS, BLOCK_TOKENS, SEED = 1.25, 1_000_000, 20
 
 
 def _tokens():
-    return F.coalesce(F.regexp_count("text", F.lit(WORDS)), F.lit(0)).cast("long")
+    return F.coalesce(F.regexp_count("_row.text", F.lit(WORDS)), F.lit(0)).cast("long")
 
 
 def _keyed(documents: DataFrame, seed: int) -> DataFrame:
-    h = F.xxhash64(F.col("doc_id"), F.lit(seed))
-    return documents.withColumns({"_source": F.coalesce(F.concat(F.lit("s"), F.col("source").cast("string")), F.lit("-")), "_h": h}).withColumn("_block", F.shiftrightunsigned("_h", 64 - BLOCKS_LOG2))
+    """_row (the whole row, so that no column's name can clash), _source, _h (hash of the id), _block (its first bits)."""
+    rows = documents.select(F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("_row"))
+    source = F.coalesce(F.concat(F.lit("s"), F.col("_row.source").cast("string")), F.lit("-"))
+    return rows.select("_row", source.alias("_source"), F.xxhash64("_row.doc_id", F.lit(seed)).alias("_h")).withColumn("_block", F.shiftrightunsigned("_h", 64 - BLOCKS_LOG2))
 
 
 def _measures(sources: DataFrame, exponents: list[float], top: float) -> list[tuple[float, float]]:
@@ -59,12 +62,14 @@ def exponent(sources: DataFrame, budget: float, target_entropy: float | None, ma
     entropy is at most the target; the larger of the two if both are given.
     """
     top = sources.agg(F.max("lt")).first()[0]
-    low, high = 0.0, 1.0
+    flat, own = _measures(sources, [0.0, 1.0], top)
+    sharpen = target_entropy is not None and own[0] > target_entropy
 
     def met(entropy: float, repeats: float) -> bool:
-        return (max_repeats is None or repeats * budget <= max_repeats) and (target_entropy is None or entropy <= target_entropy)
+        return (sharpen or max_repeats is None or repeats * budget <= max_repeats) and (target_entropy is None or entropy <= target_entropy)
 
-    if met(*_measures(sources, [0.0], top)[0]):
+    low, high = (1.0, SHARPEST) if sharpen else (0.0, 1.0)
+    if met(*flat):
         high = 0.0
     else:
         for _ in range(PASSES):
@@ -77,7 +82,7 @@ def exponent(sources: DataFrame, budget: float, target_entropy: float | None, ma
 
 
 def mix(documents: DataFrame, budget: int | None = None, target_entropy: float | None = None, max_repeats: float | None = MAX_REPEATS, seed: int = SEED) -> DataFrame:
-    """The rows of ``documents``, each as often as its source's weight asks; added: _tokens, copy (from 1), weight, mix_block (a block of the mixture has its sources by weight).
+    """_row (a row of ``documents``), tokens, copy (from 1), weight, mix_block (a block of the mixture has its sources by weight); each row as often as its source's weight asks.
 
     budget: tokens to realise; all that there are, if None. No source gets more than its part.
     """
@@ -88,7 +93,7 @@ def mix(documents: DataFrame, budget: int | None = None, target_entropy: float |
     sources = checkpointed(sources)
     n_sources, total = sources.agg(F.count("*"), F.sum("tokens")).first()
     if not n_sources:
-        return documents.withColumns({"_tokens": F.lit(0).cast("long"), "copy": F.lit(1), "weight": F.lit(0.0), "mix_block": F.lit(0).cast("long")}).limit(0)
+        return keyed.select("_row", F.lit(0).cast("long").alias("tokens"), F.lit(1).alias("copy"), F.lit(0.0).alias("weight"), F.lit(0).cast("long").alias("mix_block")).limit(0)
     budget = total if budget is None else budget
     a, z, top = exponent(sources, budget, target_entropy, max_repeats)
     wanted = sources.withColumn("weight", F.exp(a * (F.col("lt") - top) - z)).withColumn("passes", F.col("weight") * budget / F.col("tokens"))
@@ -119,10 +124,10 @@ def mix(documents: DataFrame, budget: int | None = None, target_entropy: float |
     return (
         keyed.join(hint(decisions), "_source").withColumn("_copies", (F.col("full") + part.cast("int")).cast("int")).where("_copies > 0")
         .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-        .select(*[keyed[c] for c in documents.columns], _tokens().alias("_tokens"), "copy", "weight", F.pmod(F.xxhash64("doc_id", "copy", F.lit(seed + 2)), F.lit(n_blocks)).cast("long").alias("mix_block"))
+        .select("_row", _tokens().alias("tokens"), "copy", "weight", F.pmod(F.xxhash64("_row.doc_id", "copy", F.lit(seed + 2)), F.lit(n_blocks)).cast("long").alias("mix_block"))
     )
 
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = mix(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
-    return made.select("doc_id", "source", F.col("_tokens").alias("n_tokens"), "copy", "weight", "mix_block")
+    return made.select("_row.doc_id", "_row.source", F.col("tokens").alias("n_tokens"), "copy", "weight", "mix_block")

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from vigora.llm.common import table
 
 K, PROJECTIONS, THRESHOLD, GROWTH, SEED = 20, 96, 0.8, 1.1, 9
-#: Vectors in a block, queries in a group, and the share of a block that is verified at least.
+#: Vectors in a block, queries in a group, and the share of a block that is verified at least, beside 10 k vectors.
 BLOCK, GROUP, VERIFIED = 8192, 2048, 0.18
 
 
@@ -59,7 +59,7 @@ class Block:
     def candidates(self, queries: np.ndarray, k: int):
         """For each query, the places of the vectors that collide often enough."""
         n = len(self.ids)
-        need = min(n, k + 1 + math.ceil(VERIFIED * n))
+        need = min(n, 10 * k + 1 + math.ceil(VERIFIED * n))
         if need == n:
             yield from (np.arange(n) for _ in queries)
             return

@@ -14,7 +14,7 @@ in a text count as one token, as the library does by default.
 from __future__ import annotations
 
 import json
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
 from itertools import accumulate
 
 from pyspark.sql import DataFrame, SparkSession
@@ -143,7 +143,7 @@ class PrefixTable:
     def at(self, n_chars: int) -> int:
         """Tokens of the first ``n_chars`` characters. Only the cut piece and its neighbour are split anew, for a cut changes no piece before them."""
         n_chars = max(0, min(n_chars, len(self.text)))
-        k = max(0, bisect_right(self.starts, n_chars) - 2)
+        k = max(0, bisect_left(self.starts, n_chars) - 2)
         return self.sums[k] + sum(map(self.counter.known.__getitem__, self.counter._parts(self.text[self.starts[k] : n_chars]))) if n_chars else 0
 
     def truncate(self, budget: int) -> int:
