@@ -32,7 +32,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents, each as often as its source's weight in the mixture asks."""
-    return mixing.mix(docs).select(*docs.columns)
+    return mixing.mix(docs).select("_row.*")
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
