@@ -90,7 +90,7 @@ def legal_date(x: Column | str) -> Column:
     named = F.initcap(F.trim(F.regexp_replace(named, r"\s+", " ")))
     dotted = F.regexp_extract(x, r"\b(\d{1,2})[./-](\d{1,2})[./-](\d{4})\b", 0)
     iso = F.regexp_extract(x, r"\b\d{4}-\d{2}-\d{2}\b", 0)
-    tries = [F.try_to_date(iso, F.lit("yyyy-MM-dd")), F.try_to_date(named, F.lit("d MMMM yyyy")), F.try_to_date(named, F.lit("d MMM yyyy")), F.try_to_date(F.regexp_replace(dotted, "[./-]", "."), F.lit("d.M.yyyy"))]
+    tries = [F.try_to_date(iso, "yyyy-MM-dd"), F.try_to_date(named, "d MMMM yyyy"), F.try_to_date(named, "d MMM yyyy"), F.try_to_date(F.regexp_replace(dotted, "[./-]", "."), "d.M.yyyy")]
     return F.coalesce(*tries)
 
 

@@ -263,7 +263,7 @@ class RateState:
         place = next((k + 1 for k, x in enumerate(rows) if anchor and x["sno"] == anchor), None)
         if place is None and anchor and relaxed:
             number = serial_key(anchor)[0]
-            place = next((k + 1 for back in range(1, 20) for k, x in enumerate(rows) if serial_key(x["sno"])[0] == number - back), None)
+            place = next((k + 1 for back in range(1, 20) for k, x in reversed(list(enumerate(rows))) if serial_key(x["sno"])[0] == number - back), None)
         if place is None and anchor and not relaxed:
             return False
         if place is None:

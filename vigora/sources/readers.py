@@ -43,7 +43,7 @@ def files(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
     return rows.select("path", "length", F.sha2("content", 256).alias("sha256"))
 
 
-def snapshot_id(listing: DataFrame) -> Column:
+def snapshot_id() -> Column:
     """A handle for a state of files: the same files give the same handle."""
     return F.sha2(F.array_join(F.array_sort(F.collect_list(F.concat_ws("|", "path", "length", "sha256"))), "\n"), 256)
 
@@ -102,7 +102,7 @@ def source_records(raw: DataFrame) -> DataFrame:
     text = first_given("content_text", "archive_text", "pdf_text", "name", "number")
     basis = F.when(F.nullif("content_text", F.lit("")).isNotNull(), "content").when(F.nullif("archive_text", F.lit("")).isNotNull(), "archive").when(F.nullif("pdf_text", F.lit("")).isNotNull(), "pdf").otherwise("name")
     date = first_given("commencement_date", "publication_date")
-    return raw.withColumns({"text": text, "text_source": basis, "effective_date": F.try_to_date(date, F.lit("yyyy-MM-dd")), "date_basis": F.when(F.nullif("commencement_date", F.lit("")).isNotNull(), "commencement").otherwise("publication")}).withColumn("source_text_sha256", F.sha2("text", 256))
+    return raw.withColumns({"text": text, "text_source": basis, "effective_date": F.try_to_date(date, "yyyy-MM-dd"), "date_basis": F.when(F.nullif("commencement_date", F.lit("")).isNotNull(), "commencement").otherwise("publication")}).withColumn("source_text_sha256", F.sha2("text", 256))
 
 
 def pages(archive: DataFrame, key: str, page: str, number: str) -> DataFrame:
@@ -116,4 +116,4 @@ def numbered_parts(docs: DataFrame, key: str, text: str, mark: str = r"(?m)^\s*(
     """key, pos, label, body: a text split at its numbered starts."""
     made = docs.withColumn("_parts", F.split(F.regexp_replace(text, mark, "\u0001$1\u0002"), "\u0001"))
     rows = made.select(key, F.posexplode("_parts").alias("pos", "p")).where(F.contains("p", F.lit("\u0002")))
-    return rows.select(key, "pos", F.substring_index("p", "\u0002", 1).alias("label"), F.trim(F.expr("substring(p, instr(p, '\u0002') + 1)")).alias("body"))
+    return rows.select(key, "pos", F.substring_index("p", "\u0002", 1).alias("label"), F.regexp_replace(F.expr("substring(p, instr(p, '\u0002') + 1)"), r"^\s+|\s+$", "").alias("body"))
