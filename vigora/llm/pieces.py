@@ -37,7 +37,7 @@ from vigora.llm.common import map_arrow, table
 MARK = "▁"
 UNKNOWN = 10.0
 #: Bound on remembered parts in a task, and on their length.
-MAX_PARTS, MAX_PART = 200_000, 64
+MAX_PARTS, MAX_PART = 400_000, 64
 N_BEST = 4
 
 
