@@ -8,7 +8,9 @@ more are candidates. Where a region of the order (classes with one prefix) is
 larger than ``REGION``, its depth grows until it is not, so that regions of
 common prefixes hold only classes that are ever more alike; in a region,
 classes are chained in the order of their ids, which makes different orders
-name the same pairs.
+name the same pairs, and each is paired with the least id of its region and of
+the run of classes so far that share ``LEAST`` values: copies are most often
+alike to the text they were made from, which came first.
 
 Candidates are held against each other on full sets: 100 * intersection >= 80 *
 union. Links make components; a text's class id is the least id it reaches.
@@ -134,7 +136,7 @@ class _Region:
     """Rows of one order as they come sorted; gives candidate pairs, and holds REGION rows at most."""
 
     def __init__(self, emit):
-        self.emit, self.rows, self.depth, self.prev = emit, [], LEAST, None
+        self.emit, self.rows, self.depth, self.first = emit, [], LEAST, None
 
     @staticmethod
     def common(a: bytes, b: bytes) -> int:
@@ -148,6 +150,8 @@ class _Region:
         for gap in range(1, WINDOW + 1):
             for a, b in zip(rows, rows[gap:]):
                 self.emit(a, b)
+        for b in rows[WINDOW + 1 :]:
+            self.emit(rows[0], b)
 
     def add(self, key: bytes, rep: int, n: int):
         row, shared = (key, rep, n), -1
@@ -158,6 +162,14 @@ class _Region:
                 self.flush()
                 if shared >= LEAST:
                     self.emit(last, row)
+        if self.first is None or self.common(self.first[0], key) < LEAST:
+            self.first = row
+        elif rep < self.first[1]:
+            for other in (self.first, *self.rows):
+                self.emit(row, other)
+            self.first = row
+        else:
+            self.emit(self.first, row)
         self.rows.append(row)
         while len(self.rows) > REGION:
             if self.depth < DEPTH:
@@ -182,6 +194,11 @@ class _Region:
         self.chain(self.rows)
         self.rows, self.depth = [], LEAST
 
+    def close(self):
+        """The end of an order."""
+        self.flush()
+        self.first = None
+
 
 PAIR = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType()), T.StructField("edge", T.IntegerType()), T.StructField("part", T.IntegerType()), T.StructField("ord", T.IntegerType()), T.StructField("key", T.BinaryType()), T.StructField("n", T.LongType())])
 
@@ -211,13 +228,13 @@ def candidates(classes: DataFrame) -> DataFrame:
         for batch in batches:
             for rep, n, o, key in zip(*(batch.column(batch.schema.get_field_index(x)).to_pylist() for x in ("rep", "n", "ord", "key"))):
                 if o != order:
-                    region.flush()
+                    region.close()
                     order = o
                 region.add(key, rep, n)
                 if len(first) < WINDOW:
                     first.append((rep, None, len(first), pid, o, key, n))
                 last = [*last[-WINDOW + 1 :], (rep, None, 0, pid, o, key, n)]
-            if a_s:
+            if len(a_s) > 100_000:
                 yield made([(a, b, None, None, None, None, None) for a, b in dict.fromkeys(zip(a_s, b_s))])
                 a_s.clear(), b_s.clear()
         region.flush()
