@@ -26,3 +26,11 @@ def test_every_operator_is_registered():
     names = set(__spark_entry__.queries())
     assert {f"op{n}" for n in range(1, 11)} == {n.partition("_")[0] for n in names if n.startswith("op")} and "pipeline" in names
     assert set(__spark_entry__.oracle_sql()) <= names
+
+
+def test_near_duplicates_have_the_sql_s_rows(spark, small):
+    from parity import connect, difference
+
+    import vigora.llm.queries as q
+
+    assert difference(q.QUERIES["op8_neardup"](spark, small), connect(small), q.ORACLES["op8_neardup"]) is None
