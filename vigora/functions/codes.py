@@ -41,7 +41,7 @@ def code_matches(a: Column | str, b: Column | str) -> Column:
 
 
 def leading_int(x: Column | str) -> Column:
-    return F.expr("try_cast(null as int)") if x is None else F.regexp_extract(_c(x), r"^\s*(\d+)", 1).try_cast("int")
+    return F.regexp_extract(_c(x), r"^\s*(\d+)", 1).try_cast("int")
 
 
 def serial_key(x: Column | str) -> Column:

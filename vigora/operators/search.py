@@ -67,5 +67,5 @@ def remaining(chunks_: DataFrame, done: DataFrame, key: str = "chunk_id", text:
 
 def matched(chunks_: DataFrame, vectors: DataFrame, key: str = "chunk_id") -> DataFrame:
     """Chunks with their vectors; a chunk or a vector without partner ends the query with an error."""
-    made = chunks_.join(vectors.withColumn("_v", F.lit(True)), key, "full_outer") if "_c" in chunks_.columns else chunks_.withColumn("_c", F.lit(True)).join(vectors.withColumn("_v", F.lit(True)), key, "full_outer")
+    made = chunks_.withColumn("_c", F.lit(True)).join(vectors.withColumn("_v", F.lit(True)), key, "full_outer")
     return made.where(F.assert_true(F.col("_c") & F.col("_v"), F.lit("chunk and vector do not match")).isNull()).drop("_c", "_v")
