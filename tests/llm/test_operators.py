@@ -218,7 +218,7 @@ def test_html_uses_the_host_s_path(spark):
 
 def test_neighbours_on_odd_vectors(spark):
     rows = [(0, [1.0, 0.0]), (20, [0.0, 2.0]), (3, [1.0, 1.0]), (3, [1.0, 1.0]), (4, [1.0, 1.0]), (5, None), (6, [0.0, 0.0]), (7, [float("nan"), 1.0]), (8, [None, 1.0]), (None, [1.0, 1.0]), (9, [1.0, 2.0, 3.0]), (40, [float("inf"), 1.0]), (60, [])]
-    base = neighbours.usable(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int") if False else spark.createDataFrame(rows, "vec_id long, embedding array<double>"), "vec_id", "embedding")
+    base = neighbours.usable(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), "vec_id", "embedding")
     made = neighbours.search(base, base.where("id % 20 = 0").dropDuplicates(["id"])).orderBy("query_id", "rank").collect()
     assert [(r.query_id, r.rank, r.vec_id, r.score) for r in made] == [(0, 1, 3, 1.0), (0, 2, 4, 1.0), (0, 3, 20, 0.0), (20, 1, 3, 2.0), (20, 2, 4, 2.0), (20, 3, 0, 0.0)]
     empty = neighbours.usable(spark.createDataFrame([], "vec_id long, embedding array<double>"), "vec_id", "embedding")

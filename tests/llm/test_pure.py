@@ -124,6 +124,7 @@ def test_html_main_text():
     assert html.extract(None) == html.extract("") == html.extract("<nav>x</nav>") == ""
     assert html.extract("plain") == "plain" and html.extract("<p>a<p>b &lt;x&gt; &nbsp; c") == "a\nb <x> c"
     assert html.extract("<div><p>a</p><div cla") == "a" and html.extract("<body><!-- x <p>q</p>") == ""
+    assert html.extract("<div class='content with-sidebar'><p>kept</p><div class='sidebar'>gone</div></div>") == "kept"
     long = "<div class='story'>" + "<p>word word word</p>" * 20000 + "</div>"
     assert html.extract(long).count("\n") == 19999
     two = "<body><div class='story1'><p>Main text that is long enough to win.</p></div><div class='extra'><p>Short.</p></div></body>"

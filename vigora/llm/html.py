@@ -33,11 +33,13 @@ VOID = set("area base br col embed hr img input link meta param source track wbr
 BLOCK = set("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre search section summary table tbody thead tfoot tr td th caption ul".split())
 CONTAINER = set("body article main section div td center blockquote".split())
 SKIP_TAGS = set("head nav footer aside form script style noscript iframe svg math button select textarea input template object canvas audio video map dialog menu search title xmp noembed noframes".split())
-SKIP_WORDS = set("ad ads advert adverts advertisement advertising adsense sponsor sponsored promo promotion banner sidebar sidenav rail menu nav navbar navigation breadcrumb breadcrumbs footer footnav colophon masthead topbar comment comments commentlist disqus respond replies cookie cookies consent gdpr notice notices notification alert popup modal overlay newsletter subscribe subscription signup share sharing social related recommended recommendations widget widgets toolbar pagination pager login search copyright disclaimer skip hidden".split())
+SKIP_WORDS = set("ad ads adsbygoogle advert adverts advertisement advertising adsense sponsor sponsored promo promotion banner sidebar sidenav rail menu nav navbar navigation breadcrumb breadcrumbs footer footnav colophon masthead topbar comment comments commentlist disqus respond replies cookie cookies consent gdpr notice notices notification alert popup modal overlay newsletter subscribe subscription signup share sharing social related recommended recommendations widget widgets toolbar pagination pager login search copyright disclaimer skip hidden".split())
 SKIP_ROLES = set("navigation banner contentinfo complementary search dialog alert alertdialog form menu menubar toolbar".split())
 #: What an opening tag ends: open elements of these kinds, up to one of the stops.
 ENDS = {"li": ({"li"}, {"ul", "ol", "menu", "dir"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select", "datalist"}), "tbody": ({"tbody", "thead", "tfoot", "tr", "td", "th"}, {"table"}), "tfoot": ({"tbody", "thead", "tfoot", "tr", "td", "th"}, {"table"})}
 CLASS_WORD = re.compile(r"[a-z]+")
+#: Says what stands beside an element, not what it is: "with-sidebar".
+BESIDE = re.compile(r"(?<![a-z])(?:with|has|no|without)[-_][a-z]+")
 #: A container takes the vote over its parent if it has so much of the parent's text.
 SHARE = 0.6
 #: Hosts whose winning paths may be broadcast.
@@ -57,7 +59,7 @@ def _open(tag: str, attributes: str, parent: Element) -> Element:
     if attributes and not attributes.isspace() and tag in BLOCK:
         found = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in ATTRIBUTE.finditer(attributes)}
         names = found.get("class", "").lower()
-        words = CLASS_WORD.findall(names + " " + found.get("id", "").lower())
+        words = CLASS_WORD.findall(BESIDE.sub("", names + " " + found.get("id", "").lower()))
         if names:
             label += "." + ".".join(sorted(set(re.sub(r"\d+", "", names).split())))
         role = found.get("role", "").lower()
