@@ -116,26 +116,34 @@ class Lattice:
         return out
 
     def _solve(self, part: str) -> tuple[list[int], float, float, bool]:
-        """Ids, score, what the second best costs, whether decoding gives the part back; remembered."""
-        arcs = self.arcs(part)
-        best, last = self.forward(arcs)
-        n, path, on = len(part), [], set()
-        end = n
+        """Ids, score, what the second best costs, whether decoding gives the part back; remembered.
+
+        The two best scores of every prefix are kept, which gives the second
+        best of the whole without a search. Matches come by their ends, longest
+        first, so that of equal segmentations the one with the longer last
+        piece stays.
+        """
+        n = len(part)
+        best, second, last = [0.0] + [-math.inf] * n, [-math.inf] * (n + 1), [None] * (n + 1)
+        plain = self.single.issuperset(part)
+        found = ((end + 1, arc) for end, arc in self.matches.iter(part)) if plain else ((end, arc) for end, arcs in enumerate(self.arcs(part)) for arc in arcs)
+        for end, arc in found:
+            length, s, _ = arc
+            x = best[end - length] + s
+            if x > best[end]:
+                second[end] = max(best[end], second[end - length] + s)
+                best[end], last[end] = x, arc
+            elif x > second[end]:
+                second[end] = x
+        path, end = [], n
         while end:
             length, _, i = last[end]
-            path.append((end - length, i))
-            on.add((end, length, i))
             end -= length
-        rest, second = [-math.inf] * n + [0.0], math.inf
-        for end in range(n, 0, -1):
-            for length, s, i in arcs[end]:
-                if (r := rest[end] + s) > rest[end - length]:
-                    rest[end - length] = r
-                if (end, length, i) not in on and (loss := best[n] - (best[end - length] + r)) < second:
-                    second = loss
-        ids = self._ids(part, path[::-1])
-        made = ids, best[n], max(0.0, second), self.joined(ids) == part
-        if len(part) <= MAX_PART:
+            path.append((end, i))
+        path.reverse()
+        ids = [i for _, i in path] if plain else self._ids(part, path)
+        made = ids, best[n], max(0.0, best[n] - second[n]), plain or self.joined(ids) == part
+        if n <= MAX_PART:
             if len(self.known) >= MAX_PARTS:
                 self.known.clear()
             self.known[part] = made
@@ -165,7 +173,7 @@ class Lattice:
         parts = self.parts(self.normalise(text or ""))
         made = [self.known[p] for p in parts]
         score = math.fsum(m[1] for m in made)
-        open_at = sorted(heapq.nsmallest(n - 1, (k for k in range(len(made)) if made[k][2] < math.inf), key=lambda k: (made[k][2], k)))
+        open_at = sorted(cheapest([m[2] for m in made], n - 1))
         ways: list[tuple[float, tuple]] = [(0.0, ())]
         for k in open_at:
             other = self.search(parts[k], n)
@@ -195,6 +203,17 @@ class Lattice:
         return text[1:] if text[:1] == " " else text
 
 
+def cheapest(costs, k: int) -> list[int]:
+    """Places of the k least finite costs, the earlier of equal ones."""
+    c = np.asarray(costs)
+    if len(c) > 4 * k > 0:
+        under = np.flatnonzero(c <= np.partition(c, k - 1)[k - 1])
+    else:
+        under = np.arange(len(c))
+    under = under[np.argsort(c[under], kind="stable")][:k]
+    return [int(x) for x in under if c[x] < math.inf]
+
+
 SCHEMA = "doc_id long, n_pieces long, score double, n_best array<double>, round_trip boolean, ids array<int>"
 
 
@@ -208,17 +227,16 @@ def encode_all(documents: DataFrame, path: str, n: int = N_BEST) -> DataFrame:
             flat, ends, scores, n_best, whole = [], [0], [], [], []
             for text in c["text"]:
                 parts = lattice.parts(lattice.normalise(text or ""))
-                made = [lattice.known[p] for p in parts]
-                for m in made:
-                    flat += m[0]
+                made = list(map(lattice.known.__getitem__, parts))
+                own, score, cost, ok = zip(*made) if made else ((), (), (), ())
+                flat.extend(chain.from_iterable(own))
                 ends.append(len(flat))
-                scores.append(math.fsum([m[1] for m in made]))
-                whole.append(all([m[3] for m in made]))
+                scores.append(math.fsum(score))
+                whole.append(all(ok))
                 losses = [0.0]
-                for k in heapq.nsmallest(n - 1, range(len(made)), key=[m[2] for m in made].__getitem__) if n > 1 else ():
-                    if made[k][2] < math.inf:
-                        other = lattice.search(parts[k], n)
-                        losses = heapq.nsmallest(n, (x + other[0][0] - s for x in losses for s, _ in other))
+                for k in cheapest(cost, n - 1):
+                    other = lattice.search(parts[k], n)
+                    losses = heapq.nsmallest(n, (x + other[0][0] - s for x in losses for s, _ in other))
                 n_best.append([scores[-1] - x for x in losses])
             ids = pa.ListArray.from_arrays(pa.array(np.asarray(ends, np.int32)), pa.array(np.asarray(flat, np.int32)))
             return {"doc_id": c["doc_id"], "n_pieces": np.diff(ends).tolist(), "score": scores, "n_best": n_best, "round_trip": whole, "ids": ids}
