@@ -19,10 +19,11 @@ def term_counts(docs: DataFrame, key: str, text: Column) -> DataFrame:
 
 
 def records(docs: DataFrame, key: str, text: Column) -> DataFrame:
-    """key, token_count, term_counts (map): built inside each row, no shuffle."""
-    made = docs.withColumn("_t", tokens(text))
-    counts = F.map_from_entries(F.transform(F.array_distinct("_t"), lambda t: F.struct(t, F.size(F.filter("_t", lambda x: x == t)))))
-    return made.select(*docs.columns, F.size("_t").alias("token_count"), counts.alias("term_counts")).drop("_t")
+    """docs with token_count and term_counts (map). Counted by term, then gathered by document: linear in the tokens, however long a text is."""
+    maps = term_counts(docs, key, text).groupBy(F.col(key).alias("_k")).agg(F.sum("tf").alias("_n"), F.map_from_entries(F.collect_list(F.struct("term", "tf"))).alias("_m"))
+    empty = F.map_from_entries(F.array().cast("array<struct<term: string, tf: bigint>>"))
+    made = docs.join(maps, F.col(key) == F.col("_k"), "left")
+    return made.select(*docs.columns, F.coalesce("_n", F.lit(0)).alias("token_count"), F.coalesce("_m", empty).alias("term_counts"))
 
 
 def lexical_score(query: str, text: Column, title: Column, key: Column) -> Column:
