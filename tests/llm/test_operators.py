@@ -140,7 +140,8 @@ def test_near_duplicates_edges(spark, odd, none):
     assert one.columns == odd.columns and ids(one) == [1, 2, 3, 4, 5, None]
 
 
-def test_large_group_of_near_copies_is_one_component(spark):
+def test_large_group_of_near_copies_is_one_component(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "MEMBERS", 16)
     words = [f"w{k}" for k in range(200)]
     rows = [(k, " ".join(words[:k % 180] + [f"own{k}"] + words[k % 180 + 1 :]), "s") for k in range(600)]
     made = neardup.find(docs(spark, rows), 2)

@@ -43,7 +43,7 @@ def ascii_lower(column: Column) -> Column:
 LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
 
 
-def map_arrow(df: DataFrame, make: Callable[[], Callable[[dict[str, list]], dict[str, list] | None]], schema: str, rows: int = 512, barrier: bool = False) -> DataFrame:
+def map_arrow(df: DataFrame, make: Callable[[], Callable[[dict[str, list]], dict[str, list] | None]], schema: str, rows: int = 512) -> DataFrame:
     """Maps slices of ``rows`` rows, columns as Python lists, to columns of ``schema``.
 
     ``make`` runs once in each task and returns the mapping, so that models are

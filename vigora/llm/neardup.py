@@ -41,7 +41,7 @@ from vigora.llm.common import checkpointed, map_arrow, table
 from vigora.llm.components import components
 
 HASHES, ORDERS, DEPTH, LEAST, REGION, WINDOW, SEED = 64, 32, 12, 5, 64, 2, 8
-PERCENT = 80
+PERCENT, MEMBERS = 80, 256
 MAX_WORDS = 300_000
 _U = np.uint64
 
@@ -255,24 +255,33 @@ def candidates(classes: DataFrame) -> DataFrame:
 
 
 def confirm(documents: DataFrame, pairs: DataFrame, size: int) -> DataFrame:
-    """The pairs that hold on full sets. Each text's set goes to the pairs' smaller ids, where a few sets meet: a class is in a bounded number of pairs."""
-    wanted = pairs.select(F.col("b").alias("doc_id"), F.col("a").alias("center")).union(pairs.select(F.col("a").alias("doc_id"), F.col("a").alias("center")).distinct())
-    wanted = wanted.groupBy("doc_id").agg(F.collect_list("center").alias("centers"))
-    texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(wanted, "doc_id")
+    """The pairs that hold on full sets.
+
+    Pairs meet at their smaller id, the center. Each text's set is sent once for
+    each of its centers; a center's own set goes to each of the groups of about
+    ``MEMBERS`` sets that its partners are dealt to, so that the text of which
+    very many are copies is compared in many tasks.
+    """
+    degrees = pairs.groupBy("a").agg(F.ceil(F.count("*") / MEMBERS).cast("int").alias("groups"))
+    members = pairs.join(degrees, "a").select(F.col("b").alias("doc_id"), F.lit(0).alias("bucket"), F.col("a").alias("center"), F.pmod(F.xxhash64("b"), F.col("groups")).cast("int").alias("grp"))
+    owners = degrees.select(F.col("a").alias("doc_id"), F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("grp"), F.col("a").alias("center")).withColumn("bucket", (F.col("grp") / 64).cast("int"))
+    # As a member a class has a bounded number of centers (a few in each order), as a center 64 groups in each bucket.
+    wanted = members.unionByName(owners).groupBy("doc_id", "bucket").agg(F.collect_list(F.struct("center", "grp")).alias("centers"))
+    texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(wanted.drop("bucket"), "doc_id")
 
     def make():
         shingler = Shingler(size)
 
         def f(c):
             sets = shingler.sets(c["text"])
-            rows = [(center, d, s.tobytes()) for d, s, cs in zip(c["doc_id"], sets, c["centers"]) for center in cs]
-            return {"center": [r[0] for r in rows], "doc_id": [r[1] for r in rows], "shingles": [r[2] for r in rows]}
+            rows = [(x["center"], x["grp"], d, s.tobytes()) for d, s, cs in zip(c["doc_id"], sets, c["centers"]) for x in cs]
+            return {"center": [r[0] for r in rows], "grp": [r[1] for r in rows], "doc_id": [r[2] for r in rows], "shingles": [r[3] for r in rows]}
         return f
 
-    sets = map_arrow(texts, make, "center long, doc_id long, shingles binary", rows=64)
+    sets = map_arrow(texts, make, "center long, grp int, doc_id long, shingles binary", rows=64)
 
     def check(key, tables):
-        """One center's group in Arrow: its own set against the others'."""
+        """One group of a center: its own set against the others'."""
         center = key[0].as_py()
         own, others = None, {}
         for d, s in zip(tables.column("doc_id").to_pylist(), tables.column("shingles").to_pylist()):
@@ -289,7 +298,7 @@ def confirm(documents: DataFrame, pairs: DataFrame, size: int) -> DataFrame:
                     out.append(d)
         return pa.table({"a": pa.array([center] * len(out), pa.int64()), "b": pa.array(out, pa.int64())})
 
-    return sets.groupBy("center").applyInArrow(check, "a long, b long")
+    return sets.groupBy("center", "grp").applyInArrow(check, "a long, b long")
 
 
 def find(documents: DataFrame, size: int = 2) -> DataFrame:
