@@ -6,18 +6,24 @@ orders takes the signature's values in another sequence and sorts all classes
 by it. Classes next to each other with a common prefix of ``LEAST`` values or
 more are candidates. Where a region of the order (classes with one prefix) is
 larger than ``REGION``, its depth grows until it is not, so that regions of
-common prefixes hold only classes that are ever more alike; in a region,
-classes are chained in the order of their ids, which makes different orders
-name the same pairs, and each is paired with the least id of its region and of
-the run of classes so far that share ``LEAST`` values: copies are most often
-alike to the text they were made from, which came first.
+common prefixes hold only classes that are ever more alike. Candidates are
+of three kinds, and none rests on where an id stands among the others:
+
+- in a region, classes are chained in the order of the region and in that of
+  their ids, which makes different orders name the same pairs, and are paired
+  with the least id of the region and of the run of classes so far that share
+  ``LEAST`` values;
+- all classes of a region are compared on whole signatures; pairs that agree in
+  ``NEAR`` values or more and are in two components yet are candidates;
+- in runs that are larger than a region, classes that are in another component
+  yet are paired with the class of the run that has the most links: the text
+  that very many copies were made from is alike to all of them.
 
 Candidates are held against each other on full sets: 100 * intersection >= 80 *
 union. Links make components; a text's class id is the least id it reaches.
 
-Nothing is capped: in a sorted order a class meets ``WINDOW`` classes on either
-side, so the pairs are linear in the rows, and large groups hang together as
-chains. The order is range-partitioned with the id as the last key, so that a
+Pairs that are in one component already need no comparison, and the regions are
+bounded, so the pairs are linear in the rows. The order is range-partitioned with the id as the last key, so that a
 prefix that very many classes share is spread over tasks; classes on either
 side of a boundary between tasks are paired through a table of boundary rows.
 
@@ -30,6 +36,7 @@ a null id is kept and has no component.
 from __future__ import annotations
 
 import hashlib
+import itertools
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +48,8 @@ from vigora.llm.common import checkpointed, map_arrow, table
 from vigora.llm.components import components
 
 HASHES, ORDERS, DEPTH, LEAST, REGION, WINDOW, SEED = 64, 32, 12, 5, 64, 2, 8
+#: Values of two signatures that agree, for a pair to be near the threshold: 51 on average at 0.8, with a deviation of 3.2.
+NEAR = 40
 PERCENT, MEMBERS = 80, 256
 MAX_WORDS = 300_000
 _U = np.uint64
@@ -133,10 +142,13 @@ def describe(documents: DataFrame, size: int) -> DataFrame:
 
 
 class _Region:
-    """Rows of one order as they come sorted; gives candidate pairs, and holds REGION rows at most."""
+    """Rows of one order as they come sorted; gives candidate pairs, regions and runs larger than one; holds REGION rows of each at most."""
 
-    def __init__(self, emit):
+    def __init__(self, emit, block=None, member=None):
         self.emit, self.rows, self.depth, self.first = emit, [], LEAST, None
+        self.block, self.member = block, member or (lambda row: None)
+        # The first run may have begun in the task before: given whole, however short.
+        self.run, self.start, self.large = [], None, True
 
     @staticmethod
     def common(a: bytes, b: bytes) -> int:
@@ -146,6 +158,12 @@ class _Region:
         return n
 
     def chain(self, rows):
+        # A chain of WINDOW and the least id are all pairs of fewer rows.
+        if self.block and len(rows) > WINDOW + 2:
+            self.block(rows)
+        for gap in range(1, WINDOW + 1):
+            for a, b in zip(rows, rows[gap:]):
+                self.emit(a, b)
         rows = sorted(rows, key=lambda r: r[1])
         for gap in range(1, WINDOW + 1):
             for a, b in zip(rows, rows[gap:]):
@@ -153,8 +171,26 @@ class _Region:
         for b in rows[WINDOW + 1 :]:
             self.emit(rows[0], b)
 
-    def add(self, key: bytes, rep: int, n: int):
-        row, shared = (key, rep, n), -1
+    def follow(self, row):
+        """The run of rows that share LEAST values."""
+        if self.start is None or self.common(self.start, row[0]) < LEAST:
+            if self.start is not None:
+                self.end_run(self.large)
+            self.start = row[0]
+        self.run.append(row)
+        self.large = self.large or len(self.run) > REGION
+        if len(self.run) > REGION:
+            self.end_run(True, True)
+
+    def end_run(self, given: bool, large: bool = False):
+        if given:
+            for row in self.run:
+                self.member(row)
+        self.run, self.large = [], large
+
+    def add(self, key: bytes, rep: int, n: int, sig: bytes = b""):
+        row, shared = (key, rep, n, sig), -1
+        self.follow(row)
         if self.rows:
             shared = self.common(self.rows[-1][0], key)
             if shared < self.depth:
@@ -197,16 +233,33 @@ class _Region:
     def close(self):
         """The end of an order."""
         self.flush()
-        self.first = None
+        if self.start is not None:
+            self.end_run(self.large)
+        self.first = self.start = None
+
+
+def near_rows(rows) -> list[tuple[int, int, bytes]]:
+    """Position, id and bits of the partners near the threshold, for each row of a region that has some."""
+    sigs, n = np.frombuffer(b"".join(r[3] for r in rows), np.uint8).reshape(len(rows), HASHES), np.array([r[2] for r in rows])
+    near = (sigs[:, None] == sigs[None]).sum(axis=2) >= NEAR
+    near &= 100 * np.minimum(n[:, None], n[None]) >= PERCENT * np.maximum(n[:, None], n[None])
+    np.fill_diagonal(near, False)
+    bits = np.packbits(near, axis=1)
+    return [(int(k), rows[k][1], bits[k].tobytes()) for k in np.flatnonzero(near.any(axis=1))]
 
 
 PAIR = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType()), T.StructField("edge", T.IntegerType()), T.StructField("part", T.IntegerType()), T.StructField("ord", T.IntegerType()), T.StructField("key", T.BinaryType()), T.StructField("n", T.LongType())])
 
 
-def candidates(classes: DataFrame) -> DataFrame:
-    """a, b (a < b): pairs of class representatives; classes: rep, n, sig."""
+#: Kinds of rows in PAIR.edge beside borders (0 and more) and pairs (null).
+RUN, BLOCK = -1, -2
+
+
+def candidates(classes: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Pairs of class representatives (a < b), rows of regions (block, pos, rep, bits), rows of large runs (ord, key, rep, n); classes: rep, n, sig."""
     orders = _permutations()[2]
-    rows = classes.select("rep", "n", F.posexplode(F.array(*[F.concat(*[F.substring("sig", 2 * int(i) + 1, 2) for i in o]) for o in orders])).alias("ord", "key"))
+    low = F.concat(*[F.substring("sig", 2 * k + 2, 1) for k in range(HASHES)])
+    rows = classes.withColumn("low", low).select("rep", "n", "low", F.posexplode(F.array(*[F.concat(*[F.substring("sig", 2 * int(i) + 1, 2) for i in o]) for o in orders])).alias("ord", "key"))
     parts = rows.sparkSession.conf.get("spark.sql.shuffle.partitions")
     ranged = rows.repartitionByRange(int(parts), "ord", "key", "rep").sortWithinPartitions("ord", "key", "rep")
 
@@ -214,58 +267,112 @@ def candidates(classes: DataFrame) -> DataFrame:
         from pyspark import TaskContext
 
         pid = TaskContext.get().partitionId()
-        a_s, b_s = [], []
+        a_s, b_s, more, blocks = [], [], [], itertools.count(pid << 32)
 
         def emit(x, y):
             if x[1] != y[1] and 100 * min(x[2], y[2]) >= PERCENT * max(x[2], y[2]):
                 a_s.append(min(x[1], y[1]))
                 b_s.append(max(x[1], y[1]))
 
+        def block(rows):
+            found = near_rows(rows)
+            number = next(blocks) if found else None
+            more.extend((rep, number, BLOCK, pos, None, bits, None) for pos, rep, bits in found)
+
+        def member(row):
+            more.append((row[1], None, RUN, None, order, row[0][: 2 * LEAST], row[2]))
+
         def made(rows_out):
             return pa.RecordBatch.from_pydict({k: pa.array([r[i] for r in rows_out], t) for i, (k, t) in enumerate((("a", pa.int64()), ("b", pa.int64()), ("edge", pa.int32()), ("part", pa.int32()), ("ord", pa.int32()), ("key", pa.binary()), ("n", pa.int64())))})
 
-        region, order, first, last = _Region(emit), None, [], []
+        region, order, first, last = _Region(emit, block, member), None, [], []
         for batch in batches:
-            for rep, n, o, key in zip(*(batch.column(batch.schema.get_field_index(x)).to_pylist() for x in ("rep", "n", "ord", "key"))):
+            for rep, n, o, key, sig in zip(*(batch.column(batch.schema.get_field_index(x)).to_pylist() for x in ("rep", "n", "ord", "key", "low"))):
                 if o != order:
                     region.close()
                     order = o
-                region.add(key, rep, n)
+                region.add(key, rep, n, sig)
                 if len(first) < WINDOW:
                     first.append((rep, None, len(first), pid, o, key, n))
                 last = [*last[-WINDOW + 1 :], (rep, None, 0, pid, o, key, n)]
-            if len(a_s) > 100_000:
-                yield made([(a, b, None, None, None, None, None) for a, b in dict.fromkeys(zip(a_s, b_s))])
-                a_s.clear(), b_s.clear()
+            if len(a_s) + len(more) > 100_000:
+                yield made([(a, b, None, None, None, None, None) for a, b in dict.fromkeys(zip(a_s, b_s))] + more)
+                a_s.clear(), b_s.clear(), more.clear()
         region.flush()
+        # The last run may go on in the next task.
+        region.end_run(True)
         ends = first + [(r[0], None, WINDOW + k, *r[3:]) for k, r in enumerate(last)]
-        yield made([(a, b, None, None, None, None, None) for a, b in dict.fromkeys(zip(a_s, b_s))] + ends)
+        yield made([(a, b, None, None, None, None, None) for a, b in dict.fromkeys(zip(a_s, b_s))] + more + ends)
 
-    found = checkpointed(ranged.mapInArrow(run, PAIR).distinct())
+    found = checkpointed(ranged.mapInArrow(run, PAIR))
     # The last rows of each task and the first of the next: 2 * WINDOW rows a task, so few enough for the driver.
-    ends = sorted(((r.part, r.edge, r.a, r.ord, bytes(r.key), r.n) for r in found.where("edge IS NOT NULL").collect()))
+    ends = sorted(((r.part, r.edge, r.a, r.ord, bytes(r.key), r.n) for r in found.where("edge >= 0").collect()))
     border = set()
     for x, y in ((x, y) for k, x in enumerate(ends) for y in ends[k + 1 : k + 1 + 2 * WINDOW]):
         if x[2] != y[2] and x[3] == y[3] and _Region.common(x[4], y[4]) >= LEAST and 100 * min(x[5], y[5]) >= PERCENT * max(x[5], y[5]):
             border.add((min(x[2], y[2]), max(x[2], y[2])))
     pairs = found.where("edge IS NULL").select("a", "b")
     if border:
-        pairs = pairs.union(classes.sparkSession.createDataFrame(sorted(border), "a long, b long")).distinct()
-    return pairs
+        pairs = pairs.union(classes.sparkSession.createDataFrame(sorted(border), "a long, b long"))
+    regions = found.where(F.col("edge") == BLOCK).select(F.col("b").alias("block"), F.col("part").alias("pos"), F.col("a").alias("rep"), F.col("key").alias("bits"))
+    runs = found.where(F.col("edge") == RUN).select("ord", "key", F.col("a").alias("rep"), "n")
+    return pairs.distinct(), regions, runs
+
+
+def _placed(rows: DataFrame, linked: DataFrame) -> DataFrame:
+    """``rows`` with the component of each ``rep``."""
+    return rows.join(linked, F.col("rep") == F.col("node"), "left").withColumn("component", F.coalesce("component", "rep")).drop("node")
+
+
+def apart(regions: DataFrame, linked: DataFrame) -> DataFrame:
+    """a, b: pairs of one region that are near the threshold and in two components."""
+    groups = (
+        _placed(regions, linked).groupBy("block").agg(F.min("component").alias("least"), F.max("component").alias("most"), F.collect_list(F.struct("pos", "rep", "bits", "component")).alias("rows"))
+        .where("least <> most").select("rows")
+    )
+
+    def make():
+        def f(c):
+            out = set()
+            for rows in c["rows"]:
+                at = {r["pos"]: r for r in rows}
+                for r in rows:
+                    for p in np.flatnonzero(np.unpackbits(np.frombuffer(r["bits"], np.uint8))).tolist():
+                        if at[p]["component"] != r["component"]:
+                            out.add((min(r["rep"], at[p]["rep"]), max(r["rep"], at[p]["rep"])))
+            return {"a": [a for a, _ in out], "b": [b for _, b in out]}
+        return f
+
+    return map_arrow(groups, make, "a long, b long", rows=64).distinct()
+
+
+def to_hubs(runs: DataFrame, links: DataFrame, linked: DataFrame) -> DataFrame:
+    """a, b: rows of large runs and the class of their run that has the most links, where they are in two components."""
+    degrees = links.select(F.explode(F.array("a", "b")).alias("rep")).groupBy("rep").agg(F.count("*").alias("links"))
+    rows = checkpointed(_placed(runs.join(degrees, "rep", "left"), linked))
+    hubs = rows.groupBy("ord", "key").agg(F.max(F.struct(F.coalesce("links", F.lit(0)).alias("links"), (-F.col("rep")).alias("last"), F.col("n"), F.col("component"))).alias("hub"))
+    met = rows.join(hubs, ["ord", "key"]).where((F.col("component") != F.col("hub.component")) & (100 * F.least("n", "hub.n") >= PERCENT * F.greatest("n", "hub.n")))
+    return met.select(F.least(F.col("rep"), -F.col("hub.last")).alias("a"), F.greatest(F.col("rep"), -F.col("hub.last")).alias("b")).distinct()
+
+
 
 
 def confirm(documents: DataFrame, pairs: DataFrame, size: int) -> DataFrame:
     """The pairs that hold on full sets.
 
-    Pairs meet at their smaller id, the center. Each text's set is sent once for
+    Pairs meet at the end that has more pairs, the center. Each text's set is sent once for
     each of its centers; a center's own set goes to each of the groups of about
     ``MEMBERS`` sets that its partners are dealt to, so that the text of which
     very many are copies is compared in many tasks.
     """
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("end")).groupBy("end").agg(F.count("*").alias("pairs"))
+    sides = [ends.select(F.col("end").alias(x), F.col("pairs").alias(f"{x}_pairs")) for x in ("a", "b")]
+    swap = F.col("b_pairs") > F.col("a_pairs")
+    pairs = pairs.join(sides[0], "a").join(sides[1], "b").select(F.when(swap, F.col("b")).otherwise(F.col("a")).alias("a"), F.when(swap, F.col("a")).otherwise(F.col("b")).alias("b"))
     degrees = pairs.groupBy("a").agg(F.ceil(F.count("*") / MEMBERS).cast("int").alias("groups"))
     members = pairs.join(degrees, "a").select(F.col("b").alias("doc_id"), F.lit(0).alias("bucket"), F.col("a").alias("center"), F.pmod(F.xxhash64("b"), F.col("groups")).cast("int").alias("grp"))
     owners = degrees.select(F.col("a").alias("doc_id"), F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("grp"), F.col("a").alias("center")).withColumn("bucket", (F.col("grp") / 64).cast("int"))
-    # As a member a class has a bounded number of centers (a few in each order), as a center 64 groups in each bucket.
+    # As a member a class has no more centers than pairs, each with as many pairs or more; as a center 64 groups in each bucket.
     wanted = members.unionByName(owners).groupBy("doc_id", "bucket").agg(F.collect_list(F.struct("center", "grp")).alias("centers"))
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(wanted.drop("bucket"), "doc_id")
 
@@ -305,8 +412,12 @@ def find(documents: DataFrame, size: int = 2) -> DataFrame:
     """doc_id, n_shingles, component_id, kept; a row for each row."""
     described = checkpointed(describe(documents, size))
     classes = checkpointed(described.where("fp IS NOT NULL AND doc_id IS NOT NULL").groupBy("fp").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("sig").alias("sig")))
-    links = confirm(documents, candidates(classes), size)
+    pairs, regions, runs = candidates(classes)
+    links = checkpointed(confirm(documents, checkpointed(pairs), size))
     linked = components(links)
+    further = checkpointed(apart(regions, linked).union(to_hubs(runs, links, linked)).distinct())
+    if not further.isEmpty():
+        linked = components(links.union(confirm(documents, further, size)))
     classed = classes.select("fp", "rep").join(linked, F.col("rep") == F.col("node"), "left").select("fp", F.coalesce("component", "rep").alias("component"))
     return (
         described.select("doc_id", "n", "fp").join(classed, "fp", "left")
