@@ -217,6 +217,16 @@ def test_quotes_are_linked_and_removed(spark):
     assert quotes.conversations(empty).count() == 0
 
 
+def test_quotes_from_elsewhere_though_the_own_conversation_says_it_later(spark):
+    rows = [
+        (1, 0, "user", "Hello."), (1, 2, "user", "> Use the key.\nWhy?"), (1, 4, "user", "Use the key."),
+        (2, 0, "user", "Use the key."), (3, 0, "user", "Use the key."), (3, 1, "user", "> Hello.\nHello."),
+    ]
+    made = {r.conv_id: r for r in quotes.conversations(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()}
+    assert (made[1].n_linked, made[1].messages[1].reply_conv, made[1].messages[1].reply_turn) == (1, 2, 0)
+    assert (made[3].n_linked, made[3].messages[1].reply_conv, made[3].messages[1].reply_turn) == (1, 1, 0)
+
+
 def test_long_conversations_come_in_parts_in_order(spark):
     rows = [(7, k, "user", f"message {k}") for k in range(50)]
     made = quotes.conversations(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"), part=8).orderBy("part").collect()

@@ -79,10 +79,14 @@ def link(parsed: DataFrame) -> DataFrame:
         .join(wanted.select("key").distinct(), "key", "left_semi")
     )
     here = originals.select(F.col("conv_id").alias("h_conv"), F.col("key").alias("h_key"), F.col("turn").alias("h_turn"))
-    anywhere = originals.groupBy("key").agg(F.min(F.struct("conv_id", "turn")).alias("any"))
+    # The two least conversations of each hash: a message of the first takes the second.
+    least = F.min(F.struct("conv_id", "turn"))
+    anywhere = originals.groupBy("key").agg(least.alias("any"))
+    second = originals.join(anywhere, "key").where(~F.col("conv_id").eqNullSafe(F.col("any.conv_id"))).groupBy("key").agg(least.alias("other"))
+    anywhere = anywhere.join(second, "key", "left").withColumn("other", F.coalesce("other", "any"))
     found = (
         wanted.join(here, (F.col("conv_id").eqNullSafe(F.col("h_conv"))) & (F.col("key") == F.col("h_key")) & (F.col("h_turn") < F.col("turn")), "left")
-        .join(anywhere, "key", "left")
+        .join(anywhere, "key", "left").withColumn("any", F.when(F.col("any.conv_id").eqNullSafe(F.col("conv_id")), F.col("other")).otherwise(F.col("any")))
         .withColumn("src", F.when(F.col("h_key").isNotNull(), F.struct(F.lit(0).alias("how"), F.col("rank"), F.col("conv_id").alias("conv"), F.col("h_turn").alias("turn")))
                     .when(F.col("any").isNotNull() & ~F.col("any.conv_id").eqNullSafe(F.col("conv_id")), F.struct(F.lit(1).alias("how"), F.col("rank"), F.col("any.conv_id").alias("conv"), F.col("any.turn").alias("turn"))))
     )
