@@ -103,6 +103,26 @@ def test_quality_counts_and_bands():
     assert (made["n_symbols"], made["n_dup_lines"], made["n_words"], made["word_chars"]) == (3, 1, 7, 8)
 
 
+def test_quality_sees_a_bad_part_of_a_long_text():
+    compress = zstandard.ZstdCompressor(level=quality.LEVEL).compress
+    r = random.Random(3)
+    names = [a + b + c for a in "bdfgklmnprst" for b in "aeiou" for c in ("", "n", "r", "s")]
+
+    def prose(n):
+        return " ".join("".join(r.choice(names) for _ in range(r.randint(1, 3))) if k % 3 else r.choice(["the", "of", "and", "in"]) for k in range(n))
+
+    clean = prose(10_000)
+    made = quality.judge(clean, compress)
+    assert made["kept"] and made["n_chunks"] > 10
+    lines, size = [], 0
+    while size < 8000:
+        lines.append(f"{r.choice(names)}{r.choice(names)} | {r.randint(1, 99)}.{r.randint(10, 99)} | {r.choice(['in stock', 'sold out', 'on order'])}")
+        size += len(lines[-1]) + 1
+    made = quality.judge(clean + "\n" + "\n".join(lines), compress)
+    low, high = quality.band(len(clean) + size)
+    assert not made["base_failed"] and low <= made["ratio"] <= high and not made["kept"]
+
+
 def test_grammar_composes_its_transducers():
     machine = toxicity.grammar()
     run = lambda s: [toxicity._pattern(x) for x in machine.run(s)]

@@ -4,9 +4,9 @@ A text is rejected if the ratio of its bytes to its zstandard-compressed bytes
 leaves the band for its length: above it, it repeats itself or follows a
 pattern; under it, it is noise. The limits are interpolated over the logarithm
 of the length, for longer prose always compresses better. Fixed chunks of
-``CHUNK`` bytes are held against their own band, so that a repetitive or random
-part is seen in a long text as well: a text goes if over ``BAD_SHARE`` of its
-chunks leave the band.
+``CHUNK`` bytes, the last one shorter, are held against the band for their own
+length, so that a repetitive or random part is seen in a long text as well: a
+text goes if over ``BAD_SHARE`` of its chunks leave the band.
 
 Defined results: null and empty texts have no words, ratio 0, and fail the base
 rules; texts under ``LEAST_BYTES`` are not judged by ratio (the frame alone
@@ -25,7 +25,7 @@ from vigora.llm.common import WORDS, map_arrow, table
 
 #: Bytes of a text, least and most ratio; between them by linear interpolation over log2 of the bytes.
 BANDS = ((100, 0.80, 1.50), (200, 1.00, 1.68), (400, 1.10, 1.84), (800, 1.25, 2.02), (1600, 1.35, 2.155), (3200, 1.40, 2.265), (6400, 1.45, 2.36), (12800, 1.50, 2.47), (25600, 1.50, 2.62), (102400, 1.50, 3.0), (1_638_400, 1.50, 4.0))
-CHUNK, CHUNK_BAND, BAD_SHARE, LEAST_BYTES, LEVEL = 4096, (1.35, 3.5), 0.2, 100, 3
+CHUNK, BAD_SHARE, LEAST_BYTES, LEVEL = 4096, 0.05, 100, 3
 FIND, SYMBOLS = re.compile(WORDS), re.compile(r"[#*$%&|<>]")
 
 
@@ -53,7 +53,7 @@ def repeated_words(words: list[str]) -> int:
 
 
 def compressions(data: bytes, compress) -> tuple[float, int, int]:
-    """Ratio of the whole, chunks out of their band, chunks judged (those of half the size at least)."""
+    """Ratio of the whole, chunks out of their band, chunks judged (those of LEAST_BYTES at least)."""
     if not data:
         return 0.0, 0, 0
     size = len(compress(data))
@@ -61,10 +61,10 @@ def compressions(data: bytes, compress) -> tuple[float, int, int]:
     if len(data) > CHUNK:
         for at in range(0, len(data), CHUNK):
             part = data[at : at + CHUNK]
-            if len(part) >= CHUNK // 2:
-                ratio = len(part) / len(compress(part))
+            if len(part) >= LEAST_BYTES:
+                low, high = band(len(part))
                 judged += 1
-                bad += not CHUNK_BAND[0] <= ratio <= CHUNK_BAND[1]
+                bad += not low <= len(part) / len(compress(part)) <= high
     return len(data) / size, bad, judged
 
 
