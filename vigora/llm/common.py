@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,15 +21,56 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def checkpointed(df: DataFrame) -> DataFrame:
     """``df`` written to the folder all executors share, with its lineage cut.
 
-    The folder is the session's spark.checkpoint.dir; a temporary one is used
-    only where none is set (tests on one machine).
+    The folder is the session's spark.checkpoint.dir. Where none is set, a local
+    session (tests on one machine) gets one of its own, and a cluster is refused:
+    its executors would not see each other's files. Files of checkpoints that are
+    no longer referred to are deleted by Spark if the session asks for it
+    (spark.cleaner.referenceTracking.cleanCheckpoints).
     """
     sc = df.sparkSession.sparkContext
     if not sc._jsc.sc().getCheckpointDir().isDefined():
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoints"))
+        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not folder and not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="checkpoints"))
     return df.checkpoint(eager=True)
 
 
+class Remembered(dict):
+    """What ``ask`` says of short strings, kept in two generations of at most ``most`` each: what was asked for lately stays."""
+
+    def __init__(self, ask: Callable[[str], object], most: int, longest: int):
+        super().__init__()
+        self.ask, self.most, self.longest, self.old = ask, most, longest, {}
+
+    def __missing__(self, key: str):
+        if (found := self.old.get(key)) is None:
+            found = self.ask(key)
+            if len(key) > self.longest:
+                return found
+        if len(self) >= self.most:
+            self.old = dict(self)
+            self.clear()
+        self[key] = found
+        return found
+
+    def learn(self, keys: set[str], answer: Callable[[list[str]], Iterable]) -> None:
+        """Asks for many keys at once; the long ones are left to be asked for by themselves."""
+        new = [k for k in keys.difference(self) if len(k) <= self.longest]
+        if len(self) + len(new) > self.most:
+            self.old = dict(self)
+            self.clear()
+            new = [k for k in keys if len(k) <= self.longest]
+        get, unknown = self.old.get, []
+        for k in new:
+            if (found := get(k)) is None:
+                unknown.append(k)
+            else:
+                self[k] = found
+        if unknown:
+            self.update(zip(unknown, answer(unknown)))
+
+
 def crc_mod(column: str, modulus: int) -> Column:
     """crc32 of the id's decimal text, modulo; null ids give 0."""
     return F.coalesce(F.pmod(F.crc32(F.col(column).cast("string").cast("binary")), F.lit(modulus)), F.lit(0))
