@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -130,6 +131,43 @@ def test_chunks():
             text.chunk("x", *bad)
 
 
+def test_chunks_cover_the_text_and_end_at_words():
+    r = random.Random(1)
+    for _ in range(300):
+        t = " ".join("x" * r.randint(1, 30) for _ in range(r.randint(0, 60)))
+        most = r.randint(2, 80)
+        overlap = r.randint(0, most - 1)
+        at, made = 0, text.chunk(t, most, overlap)
+        for c in made:
+            assert len(c) <= most and t.find(c, max(0, at - overlap)) >= 0
+            at = t.find(c, max(0, at - overlap)) + len(c)
+        assert at == len(t)
+
+
+def test_snippet_and_insert_blanks(spark):
+    df = spark.createDataFrame([("a " * 60 + "second " + "b " * 100 + "first " + "c " * 100,), ("no hit " * 60,), ("short second",), (None,)], "t string")
+    made = [r.s for r in df.select(text.snippet("t", ["first", "second"], size=60).alias("s")).collect()]
+    assert "second" in made[0] and made[0].startswith("...") and made[0].endswith("...")
+    assert made[1] == ("no hit " * 60)[:60] and made[2] == "short second" and made[3] is None
+    phrase = df.select(text.snippet("t", ["second"], "first", 60).alias("s")).first().s
+    assert "first" in phrase and "second" not in phrase
+    cases = [("a", "b", "c", "a b c"), ("a ", "b", ", c", "a b, c"), ("(", "b", "}", "( b}"), ("", "b", "", "b"), ("a", "", "c", "ac"), ("a", " b ", "c", "a b c")]
+    rows = spark.createDataFrame([c[:3] for c in cases], "x string, y string, z string")
+    native = [r.m for r in rows.select(F.concat("x", text.prepared_insert(F.col("x"), F.col("y"), F.col("z")), "z").alias("m")).collect()]
+    assert native == [c[3] for c in cases] == [x + text.insert_blanks(x, y, z) + z for x, y, z, _ in cases]
+
+
+def test_passages_are_found_whatever_their_length(spark, monkeypatch):
+    from vigora.operators import search
+
+    docs = spark.createDataFrame([(1, "it says \"to be or not\" here"), (2, "a three word text of ten words in all here"), (3, None), (4, "nothing")], "doc_id long, text string")
+    passages = spark.createDataFrame([("to be or not",), ("three word text",), ("",), (None,), ("absent",)], "p string")
+    for size in (16_000_000, 10):
+        monkeypatch.setattr(search, "PASSAGE_CHARS", size)
+        assert sorted(r.doc_id for r in search.holding(docs, "doc_id", "text", passages, "p").collect()) == [1, 2]
+    assert search.holding(docs, "doc_id", "text", passages.limit(0), "p").count() == 0
+
+
 def test_ids_and_dates(spark):
     row = spark.createDataFrame([("/in/union/rules/r-2017/rule/08a/subrule/2", "1st day of July, 2017", "w.e.f. 31st October, 2025", "on 01.07.2017", "no date")], "i string, a string, b string, c string, e string")
     made = row.select(ids.work_of("i"), ids.parent_of("i"), ids.kind_of("i"), ids.normalised_component("i"), *[ids.legal_date(x) for x in "abce"]).first()
@@ -142,6 +180,9 @@ def test_paths_and_resolution(spark):
     edges = spark.createDataFrame([("a", "b", "r"), ("b", "c", "r"), ("a", "c", "r"), ("c", "a", "r")], "source string, target string, type string")
     made = {(r.depth, r.node): "".join(r.path) for r in graph.paths(edges, F.lit("a"), 3).collect()}
     assert made == {(1, "b"): "ab", (1, "c"): "ac", (2, "c"): "abc", (2, "a"): "aca", (3, "a"): "abca", (3, "b"): "acab", (3, "c"): "acac"}
+    two = spark.createDataFrame([("a", "b", "r"), ("a", "c", "r"), ("b", "t", "r"), ("c", "t", "r"), ("t", "z", "r")], "source string, target string, type string")
+    found = sorted("".join(r.path) for r in graph.paths(two, F.lit("a"), 3).collect())
+    assert found == ["ab", "abt", "abtz", "ac", "act"]
     known = spark.createDataFrame([("/in/union/acts/x-act-1990", True), ("/in/union/acts/x-act-1990/section/2", False)], "id string, is_document boolean")
     aliases = spark.createDataFrame([("/in/union/acts/the-x-act-1990", "/in/union/acts/x-act-1990")], "alias string, id string")
     refs = spark.createDataFrame([("/in/union/acts/the-x-act-1990/section/2",), ("/in/union/acts/the-x-act-1990/section/3",), ("/in/union/acts/x-act-1990/section/9",), ("/in/union/forms/f1",), ("http://x",), ("/in/union/acts/x-act-1990",), ("/in/union/acts/none",)], "t string")

@@ -56,6 +56,7 @@ def test_structure_and_rendering(spark):
 
 
 def test_serials_and_rate_tables(spark):
+    assert len(parsing.serial_list("1 to 1500")) == 1500 and parsing.serial_list("9 to 3") == ["9", "3"]
     assert parsing.serial_list("3, 4 and 26A to 26D, 30 to 32") == ["3", "4", "26A", "26B", "26C", "26D", "30", "31", "32"]
     lines = ["Schedule I - 2.5%", "1. 0202, 0203 Meat of", "bovine animals", "2", "0303", "Fish", "2A. 0304 Omitted", "Schedule II - 6%", "1. 0405 Butter"]
     made = parsing.rate_tables(spark.createDataFrame([("n", "\n".join(lines))], "notification string, text string")).orderBy("pos").collect()

@@ -5,7 +5,9 @@ from __future__ import annotations
 import difflib
 import re
 import unicodedata
+from bisect import bisect_right
 from collections.abc import Callable
+from itertools import accumulate
 
 import pandas as pd
 from pyspark.sql import Column
@@ -52,14 +54,16 @@ def squeeze(x: Column | str) -> Column:
 
 
 def snippet(x: Column | str, terms: list[str], phrase: str = "", size: int = 260) -> Column:
-    """About ``size`` characters around the phrase, else around the first term that occurs, else from the start; cut ends get ellipses."""
+    """About ``size`` characters around the phrase, else around the earliest of the terms, with ellipses where it is cut; the bare start where none occurs."""
     text = clean(x)
     low = F.lower(text)
-    hits = [F.when(F.locate(w.lower(), low) > 0, F.locate(w.lower(), low)) for w in ([phrase] if phrase else []) + list(terms)]
-    hit = F.coalesce(*hits, F.lit(1)) if hits else F.lit(1)
+    place = lambda w: F.nullif(F.locate(w.lower(), low), F.lit(0))
+    found = [place(w) for w in dict.fromkeys(terms) if w]
+    earliest = F.least(*found) if len(found) > 1 else found[0] if found else F.lit(None).cast("int")
+    hit = F.coalesce(place(phrase), earliest) if phrase else earliest
     start = F.greatest(F.lit(1), hit - size // 3)
-    cut = F.substring(text, start, F.lit(size))
-    return F.when(F.length(text) <= size, text).otherwise(F.concat(F.when(start > 1, F.lit("...")).otherwise(F.lit("")), F.trim(cut), F.when(start + size - 1 < F.length(text), F.lit("...")).otherwise(F.lit(""))))
+    around = F.concat(F.when(start > 1, "...").otherwise(""), F.trim(F.substring(text, start, F.lit(size))), F.when(start + size - 1 < F.length(text), "...").otherwise(""))
+    return F.when(hit.isNotNull(), around).otherwise(F.substring(text, 1, size))
 
 
 def clauses(x: Column | str, words: list[str], most: int = 5, width: int = 400) -> Column:
@@ -80,10 +84,22 @@ def replace_pairs(x: Column, pairs: Column) -> Column:
     return F.aggregate(pairs, x, lambda t, p: replace_first(t, p["old"], p["new"]))
 
 
+#: What an inserted text needs no blank before.
+CLOSING = ",.;:)]}"
+
+
+def insert_blanks(before: str, insert: str, after: str) -> str:
+    """An inserted text with a blank at each end where neither it nor its neighbour has one; none before closing marks."""
+    left = " " if insert and before and not insert[0].isspace() and not before[-1].isspace() else ""
+    right = " " if insert and after and not insert[-1].isspace() and not after[0].isspace() and after[0] not in CLOSING else ""
+    return left + insert + right
+
+
 def prepared_insert(before: Column, insert: Column, after: Column) -> Column:
-    """An inserted fragment with blanks where its neighbours need them."""
-    left = F.when((F.length(before) > 0) & ~before.rlike(r"[\s(\[“\"']$") & ~insert.rlike(r"^[\s,.;:)\]]"), F.lit(" ")).otherwise(F.lit(""))
-    right = F.when((F.length(after) > 0) & ~after.rlike(r"^[\s,.;:)\]]") & ~insert.rlike(r"\s$"), F.lit(" ")).otherwise(F.lit(""))
+    """``insert_blanks`` as a column."""
+    some = F.length(insert) > 0
+    left = F.when(some & before.rlike(r"\S$") & insert.rlike(r"^\S"), " ").otherwise("")
+    right = F.when(some & insert.rlike(r"\S$") & after.rlike(r"^[^\s,.;:)\]}]"), " ").otherwise("")
     return F.concat(left, insert, right)
 
 
@@ -130,26 +146,30 @@ def spans_of(text: pd.Series, needle: pd.Series) -> pd.Series:
     return pd.Series([[{"start": a, "end": b} for a, b in find_spans(t or "", n or "")] for t, n in zip(text, needle)])
 
 
-def chunk(text: str, max_chars: int, overlap: int) -> list[str]:
-    """Overlapping windows that end at a sentence, clause or word where one lies past their middle."""
-    if max_chars <= 0 or overlap < 0 or overlap >= max_chars:
+def chunk_spans(starts: list[int], length: int, max_chars: int, overlap: int):
+    """(from, to) of overlapping windows over a text whose words start at ``starts``.
+
+    A window gives way to the last word start in reach, if that leaves it over
+    half its size; the next one goes back by the overlap, and at least one
+    character on.
+    """
+    begin, end = 0, 0
+    while end < length:
+        end = min(begin + max_chars, length)
+        if end < length:
+            word = starts[bisect_right(starts, end) - 1]
+            end = word if word - begin > max_chars // 2 + 1 else end
+        yield begin, end
+        begin = max(begin + 1, end - overlap)
+
+
+def chunk(text: str | None, max_chars: int, overlap: int) -> list[str]:
+    """The text, its white space made single blanks, in overlapping windows that end at words where they can."""
+    if not 0 <= overlap < max_chars:
         raise ValueError("need max_chars > overlap >= 0")
-    text = re.sub(r"\s+", " ", text or "").strip()
-    if len(text) <= max_chars:
-        return [text] if text else []
-    out, start = [], 0
-    while start < len(text):
-        end = min(len(text), start + max_chars)
-        if end < len(text):
-            boundary = max(text.rfind(mark, start, end) for mark in (". ", "; ", " "))
-            if boundary > start + max_chars // 2:
-                end = boundary + 1
-        if part := text[start:end].strip():
-            out.append(part)
-        if end >= len(text):
-            break
-        start = max(end - overlap, start + 1)
-    return out
+    words = (text or "").split()
+    whole, starts = " ".join(words), [0, *accumulate(len(w) + 1 for w in words[:-1])]
+    return [part for a, z in chunk_spans(starts, len(whole), max_chars, overlap) if (part := whole[a:z].strip())]
 
 
 def chunks(max_chars: int = 900, overlap: int = 120) -> Callable[[Column], Column]:
@@ -179,10 +199,14 @@ def unified_diff(context: int = 3, most: int = 200) -> Callable[[Column, Column]
     return made
 
 
+def _ratio(a: str, b: str) -> float:
+    return 1.0 if a == b else difflib.SequenceMatcher(None, a, b, autojunk=False).ratio()
+
+
 @F.pandas_udf(T.DoubleType())
 def similarity(a: pd.Series, b: pd.Series) -> pd.Series:
-    """Matching-block ratio of two texts, with no shortcut for frequent characters."""
-    return pd.Series([difflib.SequenceMatcher(None, x or "", y or "", autojunk=False).ratio() for x, y in zip(a, b)], dtype="float64")
+    """Matching-block ratio of two texts, with no shortcut for frequent characters; a null (a pair that needs none) has none."""
+    return pd.Series([None if x is None or y is None else _ratio(x, y) for x, y in zip(a, b)], dtype="float64")
 
 
 def jaccard(a: Column, b: Column) -> Column:

@@ -27,17 +27,19 @@ def neighbours(edge: DataFrame, node: Column, side: str, k: int = 50) -> DataFra
 
 
 def paths(edge: DataFrame, start: Column, depth: int, hit: Column | None = None) -> DataFrame:
-    """Breadth-first paths from the start: depth, node, path. A node is kept once a depth (the least path); a hit does not end its path.
+    """Breadth-first paths from the start: depth, node, path, one for each edge that reaches a node at a depth; a hit does not end its path.
 
-    Each step is an equi-join of the frontier with the edges and one aggregate,
-    so the frontier never holds more than a row a node.
+    Only the least path to a node goes on from it at each depth: each step is an
+    equi-join of the frontier with the edges and one aggregate, so the frontier
+    never holds more than a row a node.
     """
-    now = edge.where(F.col("source") == start).select(F.lit(1).alias("depth"), F.col("target").alias("node"), F.array("source", "target").alias("path")).groupBy("depth", "node").agg(F.min("path").alias("path"))
-    found = now
+    keep = lambda rows: rows.groupBy("depth", "node").agg(F.min("path").alias("path"))
+    now = edge.where(F.col("source") == start).select(F.lit(1).alias("depth"), F.col("target").alias("node"), F.array("source", "target").alias("path"))
+    found, now = now, keep(now)
     for d in range(2, depth + 1):
         step = now.select("node", "path").join(edge.select("source", "target"), F.col("node") == F.col("source"))
-        now = step.select(F.lit(d).alias("depth"), F.col("target").alias("node"), F.concat("path", F.array("target")).alias("path")).groupBy("depth", "node").agg(F.min("path").alias("path"))
-        found = found.unionByName(now)
+        now = step.select(F.lit(d).alias("depth"), F.col("target").alias("node"), F.concat("path", F.array("target")).alias("path"))
+        found, now = found.unionByName(now), keep(now)
     return found.where(hit) if hit is not None else found
 
 
@@ -83,3 +85,30 @@ def related(parts: list[tuple[float, DataFrame]], k: int) -> DataFrame:
         rows = made if rows is None else rows.unionByName(made)
     best = rows.withColumn("_n", F.row_number().over(Window.partitionBy("id").orderBy("priority", F.desc("score")))).where("_n = 1")
     return best.select("id", "via", "score").orderBy(F.desc("score"), "id").limit(k)
+
+
+def forms_of(edge: DataFrame, rule: Column, prefix: str, contains: str = "CONTAINS", k: int = 50) -> DataFrame:
+    """Edges from a rule, or from a part that it contains, to targets that begin with ``prefix``: one for each target, the least of them."""
+    out = edge.where(F.col("source") == rule)
+    parts = out.where((F.col("type") == contains) & F.startswith(F.col("target"), F.concat(rule, F.lit("/")))).select(F.col("target").alias("_part"))
+    held = edge.join(parts.distinct(), F.col("source") == F.col("_part"), "left_semi").unionByName(out)
+    found = held.where(F.startswith(F.col("target"), F.lit(prefix)))
+    return found.groupBy("target").agg(F.min(F.struct("source", "type")).alias("e")).select("e.source", "target", "e.type").orderBy("target").limit(k)
+
+
+def with_nodes(edge: DataFrame, node: DataFrame, *fields: str) -> DataFrame:
+    """Edges with the fields of both their nodes, as source_<field> and target_<field>; null where a node is not known."""
+    for side in ("source", "target"):
+        names = node.select(F.col("id").alias(f"_{side}"), *[F.col(f).alias(f"{side}_{f}") for f in fields])
+        edge = edge.join(names, F.col(side) == F.col(f"_{side}"), "left").drop(f"_{side}")
+    return edge
+
+
+def by_alias(values: DataFrame, value: str, works: DataFrame, aliases: DataFrame) -> DataFrame:
+    """``values`` with resolved: the work of that id, else the one with that alias (case and white space aside). works: work_id; aliases: alias, work_id; an alias of several works resolves to none."""
+    folded = lambda c: F.lower(F.trim(F.regexp_replace(c, r"\s+", " ")))
+    single = aliases.groupBy(folded(F.col("alias")).alias("_alias")).agg(F.min("work_id").alias("_by_alias"), F.countDistinct("work_id").alias("_n")).where("_n = 1").drop("_n")
+    known = works.select(F.col("work_id").alias("_work")).distinct()
+    made = values.join(known, F.col(value) == F.col("_work"), "left").join(single, folded(F.col(value)) == F.col("_alias"), "left")
+    return made.withColumn("resolved", F.coalesce("_work", "_by_alias")).drop("_work", "_alias", "_by_alias")
+

@@ -119,7 +119,11 @@ def reconcile(checkpoint: DataFrame, materialised: DataFrame, keys: list[str]) -
     """Full outer join on schedule and serial with a class for each pair; leftovers are missing on one side. Both: keys, code, text, omitted."""
     cp = checkpoint.select(*keys, F.col("code").alias("cp_code"), F.col("text").alias("cp_text"), F.col("omitted").alias("cp_omitted"), F.lit(True).alias("_cp"))
     mat = materialised.select(*keys, F.col("code").alias("mat_code"), F.col("text").alias("mat_text"), F.col("omitted").alias("mat_omitted"), F.lit(True).alias("_mat"))
-    made = cp.join(mat, keys, "full_outer").withColumn("ratio", F.when(F.col("_cp") & F.col("_mat"), similarity("cp_text", "mat_text")))
+    # Only pairs whose class rests on it are compared in Python: both in force, their texts unlike.
+    active = lambda side: ~F.coalesce(F.col(f"{side}_omitted"), F.lit(False))
+    compared = F.col("_cp") & F.col("_mat") & active("cp") & active("mat") & ~F.col("cp_text").eqNullSafe(F.col("mat_text"))
+    made = cp.join(mat, keys, "full_outer").withColumn("ratio", similarity(F.when(compared, F.coalesce("cp_text", F.lit(""))), F.when(compared, F.coalesce("mat_text", F.lit("")))))
+    made = made.withColumn("ratio", F.when(F.col("_cp") & F.col("_mat") & F.col("ratio").isNull(), F.when(F.col("cp_text").eqNullSafe(F.col("mat_text")), 1.0).otherwise(0.0)).otherwise(F.col("ratio")))
     both = pair_class(F.coalesce("cp_text", F.lit("")), F.coalesce("mat_text", F.lit("")), F.coalesce("cp_code", F.lit("")), F.coalesce("mat_code", F.lit("")), F.coalesce("cp_omitted", F.lit(False)), F.coalesce("mat_omitted", F.lit(False)), F.coalesce("ratio", F.lit(0.0)))
     kind = F.when(F.col("_mat").isNull(), F.when(F.col("cp_omitted"), "cp_omitted_mat_missing").otherwise("missing_in_materialised")).when(F.col("_cp").isNull(), F.when(F.col("mat_omitted"), "mat_omitted_cp_missing").otherwise("missing_in_checkpoint")).otherwise(both)
     return made.withColumn("class", kind).drop("_cp", "_mat")
@@ -143,3 +147,35 @@ def validate(entries: DataFrame, group: str, serial: Column, pos: str, code: str
         chapter_subsumption(entries, code, group, description).select(F.lit("warning").alias("severity"), F.lit("chapter_subsumption").alias("check"), F.col("in_schedule").cast("string").alias("grp"), F.col("code").alias("detail")),
     ]
     return reduce(DataFrame.unionByName, found)
+
+
+def post_entry(concordance: DataFrame, schedule: Column, serial: Column) -> DataFrame:
+    """The row of a concordance for a schedule and serial; a full stop after the serial does not matter."""
+    return concordance.where((F.col("pre_schedule") == schedule) & (F.col("pre_sno") == F.rtrim(F.regexp_replace(serial, r"\.+$", "")))).limit(1)
+
+
+def gap_fill(report: DataFrame, concordance: DataFrame, width: int = 4) -> DataFrame:
+    """A report's entries that are missing in the materialised schedules, as traced where the concordance has their schedule and code prefix.
+
+    report: schedule, code, class. concordance (matched and unmatched): pre_schedule, pre_code.
+    """
+    known = concordance.select(F.col("pre_schedule").alias("_s"), F.substring(F.trim("pre_code"), 1, width).alias("_p")).where(F.length("_p") == width).distinct()
+    own = F.substring(F.trim("code"), 1, width)
+    made = report.join(known, (F.col("schedule") == F.col("_s")) & (own == F.col("_p")), "left")
+    traced = (F.col("class") == "missing_in_materialised") & F.col("_s").isNotNull()
+    return made.withColumn("class", F.when(traced, "concordance_traced").otherwise(F.col("class"))).drop("_s", "_p")
+
+
+def concessions(queries: DataFrame, entries: DataFrame) -> DataFrame:
+    """Queries with the concessional entries of their code in force at their date: kind 'exemption' where the rate is 0, else 'concession', and the doubled rate.
+
+    queries: code, date. entries: code, notification, rate, effective (null: always), and what else they have.
+    """
+    made = queries.withColumnRenamed("code", "_code").join(entries, F.col("_code") == F.col("code")).where(F.col("effective").isNull() | (F.col("date") >= F.col("effective")))
+    return made.drop("_code").withColumn("kind", F.when(F.col("rate") == 0, "exemption").otherwise("concession")).withColumn("total_rate", F.col("rate") * 2)
+
+
+def conditions(entries: DataFrame, inherited: DataFrame) -> DataFrame:
+    """Entries with what they inherit from their schedule: heading, opening words, explanations; entries of schedules without any keep nulls. inherited: notification, schedule and its texts."""
+    return entries.join(inherited, ["notification", "schedule"], "left")
+

@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vigora.functions.text import find_spans
+from vigora.functions.text import find_spans, insert_blanks
 
 OMITTED = "[Omitted]"
 
@@ -67,9 +67,7 @@ def splice(text: str, anchor: str, insert: str, before: bool = False, reflected:
     head, tail = text[:at], text[at:]
     if tail.lstrip().startswith(insert.strip()):
         return text, "duplicate_insertion_skipped"
-    left = " " if head and not head[-1].isspace() and head[-1] not in "([“\"'" and not insert[:1].isspace() and insert[:1] not in ",.;:)]" else ""
-    right = " " if tail and not tail[0].isspace() and tail[0] not in ",.;:)]" and not insert[-1:].isspace() else ""
-    return head + left + insert + right + tail, None
+    return head + insert_blanks(head, insert, tail) + tail, None
 
 
 def omit(text: str, part: str | None, everywhere: bool = False) -> str:
@@ -337,23 +335,24 @@ class RateState:
     op_supersede = op_amend_opening
 
 
-RATE_OUT = "notification string, schedule_id string, pos int, sno string, tariff_item string, description string, is_omitted boolean, n_applied int, n_failed int"
+RATE_OUT = "notification string, schedule_id string, pos int, sno string, tariff_item string, description string, rate string, is_omitted boolean, n_applied int, n_failed int"
 
 
 def replay_rates(base: DataFrame, events: DataFrame, at: str | None = None) -> DataFrame:
     """Folds rate events over a notification's schedules, in order of date; a snapshot.
 
     base: notification, schedule_id, pos, sno, tariff_item, description,
-    is_omitted. events: notification, schedule_id, operation, sno ('|' between
+    is_omitted, rate (optional). events: notification, schedule_id, operation, sno ('|' between
     several), col, old_value, new_value, tariff_item, after_sno, effective,
     published, seq. Events without effect are tried again after the others,
     inserts last and beside the nearest smaller serial.
     """
     if at is not None:
         events = events.where(F.col("effective") <= F.lit(at).cast("date"))
+    base = base.withColumn("rate", F.col("rate").cast("string") if "rate" in base.columns else F.lit(None).cast("string"))
 
     def fold(key, b: pd.DataFrame, e: pd.DataFrame) -> pd.DataFrame:
-        state = RateState(b.sort_values(["schedule_id", "pos"], kind="stable")[["schedule_id", "sno", "tariff_item", "description", "is_omitted"]].to_dict("records"))
+        state = RateState(b.sort_values(["schedule_id", "pos"], kind="stable")[["schedule_id", "sno", "tariff_item", "description", "rate", "is_omitted"]].to_dict("records"))
         ordered = e.sort_values(["effective", "published", "seq"], kind="stable").where(lambda x: x.notna(), None).to_dict("records")
         # Inserts that follow each other from one source go in the order of their serials.
         rows, run = [], []
@@ -368,7 +367,7 @@ def replay_rates(base: DataFrame, events: DataFrame, at: str | None = None) -> D
         failed = [x for x in rows if not state.apply(x)]
         failed = [x for x in sorted(failed, key=lambda y: (y["operation"] == "RATE_INSERT_ENTRIES", serial_key(y["sno"]) if y["operation"] == "RATE_INSERT_ENTRIES" else (0, ""))) if not state.apply(x)]
         failed = [x for x in failed if x["operation"] != "RATE_INSERT_ENTRIES" or not state.apply(x, relaxed=True)]
-        out = [(key[0], s, k, x["sno"], x["tariff_item"], x["description"], bool(x["is_omitted"]), len(rows) - len(failed), len(failed)) for s, entries in state.schedules.items() for k, x in enumerate(entries)]
-        return pd.DataFrame(out, columns=["notification", "schedule_id", "pos", "sno", "tariff_item", "description", "is_omitted", "n_applied", "n_failed"])
+        out = [(key[0], s, k, x["sno"], x["tariff_item"], x["description"], x.get("rate"), bool(x["is_omitted"]), len(rows) - len(failed), len(failed)) for s, entries in state.schedules.items() for k, x in enumerate(entries)]
+        return pd.DataFrame(out, columns=["notification", "schedule_id", "pos", "sno", "tariff_item", "description", "rate", "is_omitted", "n_applied", "n_failed"])
 
     return base.groupBy("notification").cogroup(events.groupBy("notification")).applyInPandas(fold, RATE_OUT)

@@ -35,8 +35,9 @@ def lexical_score(query: str, text: Column, title: Column, key: Column) -> Colum
     found = tokens(text)
     title, key, low = F.lower(F.coalesce(title, F.lit(""))), F.lower(F.coalesce(key.cast("string"), F.lit(""))), F.lower(clean(text))
     score = F.lit(0)
-    for w in dict.fromkeys(words):
-        score = score + F.size(found) - F.size(F.array_remove(found, w))
+    if words:
+        # Each term counts its frequency, so all of them together the tokens that are terms: one pass over the text.
+        score = score + F.size(F.filter(found, lambda t: t.isin(*dict.fromkeys(words))))
     for w in words:
         score = score + F.when(F.contains(title, F.lit(w)), 4).otherwise(0) + F.when(F.contains(key, F.lit(w)), 2).otherwise(0)
     if phrase:
@@ -70,3 +71,39 @@ def matched(chunks_: DataFrame, vectors: DataFrame, key: str = "chunk_id") -> Da
     """Chunks with their vectors; a chunk or a vector without partner ends the query with an error."""
     made = chunks_.withColumn("_c", F.lit(True)).join(vectors.withColumn("_v", F.lit(True)), key, "full_outer")
     return made.where(F.assert_true(F.col("_c") & F.col("_v"), F.lit("chunk and vector do not match")).isNull()).drop("_c", "_v")
+
+
+#: Characters of passages that are broadcast together.
+PASSAGE_CHARS = 16_000_000
+
+
+def holding(docs: DataFrame, key: str, text: str, passages: DataFrame, passage: str) -> DataFrame:
+    """Keys of the documents whose text holds any of the passages, letter for letter.
+
+    One pass over the texts finds all passages of a block by an automaton; blocks
+    have about ``PASSAGE_CHARS`` characters, so a broadcast is bounded however
+    many passages there are. Null and empty passages are held by none.
+    """
+    import math
+
+    rows = passages.select(F.col(passage).alias("p")).where(F.length("p") > 0).distinct()
+    blocks = max(1, math.ceil((rows.agg(F.sum(F.length("p"))).first()[0] or 0) / PASSAGE_CHARS))
+    spark, found = docs.sparkSession, None
+    for k in range(blocks):
+        shared = spark.sparkContext.broadcast([r.p for r in rows.where(F.pmod(F.xxhash64("p"), F.lit(blocks)) == k).collect()])
+
+        def run(batches, shared=shared):
+            import ahocorasick
+            import pyarrow as pa
+
+            held = ahocorasick.Automaton()
+            for p in shared.value:
+                held.add_word(p, len(p))
+            held.make_automaton()
+            for batch in batches:
+                hit = [bool(t) and len(held) > 0 and next(held.iter(t), None) is not None for t in batch.column(1).to_pylist()]
+                yield batch.select([0]).filter(pa.array(hit, pa.bool_()))
+
+        made = docs.select(key, text).mapInArrow(run, docs.select(key).schema)
+        found = made if found is None else found.unionByName(made)
+    return found.distinct()

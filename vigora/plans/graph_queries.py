@@ -55,7 +55,8 @@ def incoming_refs(spark, sf_dir):
 
 
 @query("bounded_paths", f"""WITH RECURSIVE e AS ({EDGES}), w(depth, node, path) AS (SELECT 1, target, source || '>' || target FROM e WHERE source = '/region/1' UNION ALL SELECT w.depth + 1, e.target, w.path || '>' || e.target FROM w JOIN e ON e.source = w.node WHERE w.depth < 3)
- SELECT depth, node, min(path) AS path FROM w GROUP BY depth, node""")
+, l AS (SELECT depth, node, min(path) AS path FROM w GROUP BY depth, node)
+ SELECT depth, node, path FROM w WHERE depth = 1 UNION ALL SELECT l.depth + 1, e.target, l.path || '>' || e.target FROM l JOIN e ON e.source = l.node WHERE l.depth < 3""")
 def bounded_paths(spark, sf_dir):
     return graph.paths(edges(spark, sf_dir), F.lit("/region/1"), 3).select("depth", "node", F.array_join("path", ">").alias("path"))
 

@@ -95,9 +95,9 @@ def covering_events(spark, sf_dir):
     return ledger.covering(rows, rows.where("event_id % 4 = 0"), ["user_id", "event_type"], "s", "e", "event_id").select("event_id", "covering_event")
 
 
-@query("linkage_index", """SELECT l_suppkey, array_to_string(list_sort(list(DISTINCT l_orderkey)), ',') AS orders, array_to_string(list_sort(list(DISTINCT CASE WHEN l_partkey % 3 = 0 THEN l_partkey END) FILTER (l_partkey % 3 = 0)), ',') AS rules FROM lineitem WHERE l_suppkey < 20 GROUP BY l_suppkey""")
+@query("linkage_index", """SELECT l_suppkey, array_to_string(list_sort(list(DISTINCT l_orderkey)), ',') AS orders, array_to_string(list_sort(list(DISTINCT CASE WHEN l_partkey % 3 = 0 THEN l_partkey END) FILTER (l_partkey % 3 = 0)), ',') AS rules FROM lineitem GROUP BY l_suppkey""")
 def linkage_index(spark, sf_dir):
-    rows = table(spark, sf_dir, "lineitem").where("l_suppkey < 20")
+    rows = table(spark, sf_dir, "lineitem")
     made = ledger.linkage(rows, "l_suppkey", "l_orderkey", "l_partkey", F.when(F.col("l_partkey") % 3 == 0, "rule").otherwise("form"))
     join = lambda c: F.array_join(F.transform(c, lambda x: x.cast("string")), ",")
     return made.select("l_suppkey", join("events").alias("orders"), join("rules").alias("rules"))
@@ -145,12 +145,12 @@ def triage_classes(spark, sf_dir):
 @query("gap_queue", """WITH g AS (SELECT event_id, user_id, CASE event_id % 4 WHEN 0 THEN 'apply_failed:x' WHEN 1 THEN 'target_not_in_store:x' WHEN 2 THEN 'same_effective_date_conflict' ELSE 'partial_apply:y' END AS reason FROM events),
  l AS (SELECT *, CASE WHEN reason LIKE 'apply_failed%' OR reason LIKE 'partial_apply%' THEN 'text_repair' WHEN reason LIKE 'same%' THEN 'sequencing' ELSE 'anchor' END AS lane FROM g),
  p AS (SELECT *, -(CASE WHEN user_id IN (3, 5) THEN 100 ELSE 0 END) - (CASE WHEN lane = 'anchor' THEN 20 ELSE 0 END) - (CASE WHEN lane = 'sequencing' THEN 15 ELSE 0 END) - (CASE WHEN reason LIKE 'partial%' THEN 10 ELSE 0 END) AS priority FROM l)
- SELECT event_id, lane, priority FROM p ORDER BY priority, event_id LIMIT 200""")
+ SELECT event_id, lane, priority FROM p""")
 def gap_queue(spark, sf_dir):
     k = F.col("event_id") % 4
     reason = F.when(k == 0, "apply_failed:x").when(k == 1, "target_not_in_store:x").when(k == 2, "same_effective_date_conflict").otherwise("partial_apply:y")
     rows = table(spark, sf_dir, "events").withColumn("reason", reason).withColumn("lane", quality.gap_lane(F.col("reason")))
-    return rows.withColumn("priority", quality.gap_priority(F.col("lane"), F.col("reason"), F.col("user_id").isin(3, 5))).orderBy("priority", "event_id").limit(200).select("event_id", "lane", "priority")
+    return rows.withColumn("priority", quality.gap_priority(F.col("lane"), F.col("reason"), F.col("user_id").isin(3, 5))).select("event_id", "lane", "priority")
 
 
 @query("first_occurrence_replace", "SELECT conv_id, turn, CASE WHEN strpos(text, 'the') > 0 THEN substr(text, 1, strpos(text, 'the') - 1) || '[X]' || substr(text, strpos(text, 'the') + 3) ELSE text END AS text FROM conversations")

@@ -137,14 +137,14 @@ def concordance(spark, sf_dir):
 
 
 def reconcile_sides(spark, sf_dir):
-    o = table(spark, sf_dir, "orders").where("o_orderkey < 5000")
+    o = table(spark, sf_dir, "orders")
     base = o.select("o_orderkey", F.col("o_orderstatus").alias("code"), F.col("o_orderpriority").alias("text"), (F.col("o_totalprice") > 450000).alias("omitted"))
     cp = base.where("o_orderkey % 11 <> 0")
     mat = base.where("o_orderkey % 13 <> 0").withColumn("code", F.when(F.col("o_orderkey") % 17 == 0, "Z").otherwise(F.col("code"))).withColumn("text", F.when(F.col("o_orderkey") % 19 == 0, F.concat("text", F.lit("."))).when(F.col("o_orderkey") % 23 == 0, "quite other words").otherwise(F.col("text")))
     return cp, mat.withColumn("omitted", F.col("omitted") & (F.col("o_orderkey") % 3 != 0))
 
 
-@query("reconcile_outer", """WITH b AS (SELECT o_orderkey AS k, o_orderstatus AS code, o_orderpriority AS text, o_totalprice > 450000 AS om FROM orders WHERE o_orderkey < 5000), cp AS (SELECT * FROM b WHERE k % 11 <> 0),
+@query("reconcile_outer", """WITH b AS (SELECT o_orderkey AS k, o_orderstatus AS code, o_orderpriority AS text, o_totalprice > 450000 AS om FROM orders), cp AS (SELECT * FROM b WHERE k % 11 <> 0),
  m AS (SELECT k, CASE WHEN k % 17 = 0 THEN 'Z' ELSE code END AS code, CASE WHEN k % 19 = 0 THEN 1 WHEN k % 23 = 0 THEN 2 ELSE 0 END AS t, om AND k % 3 <> 0 AS om FROM b WHERE k % 13 <> 0)
  SELECT coalesce(cp.k, m.k) AS o_orderkey, CASE WHEN m.k IS NULL THEN CASE WHEN cp.om THEN 'cp_omitted_mat_missing' ELSE 'missing_in_materialised' END WHEN cp.k IS NULL THEN CASE WHEN m.om THEN 'mat_omitted_cp_missing' ELSE 'missing_in_checkpoint' END
  WHEN cp.om AND m.om THEN 'omitted_match' WHEN cp.om THEN 'cp_omitted_mat_active' WHEN m.om THEN 'mat_omitted_cp_active' WHEN cp.code <> m.code AND m.t < 2 THEN 'format_only' WHEN cp.code <> m.code THEN 'tariff_mismatch' WHEN m.t < 2 THEN 'exact' ELSE 'description_mismatch' END AS class FROM cp FULL JOIN m ON cp.k = m.k""")
@@ -153,10 +153,10 @@ def reconcile_outer(spark, sf_dir):
     return rates.reconcile(cp, mat, ["o_orderkey"]).select("o_orderkey", "class")
 
 
-@query("reconcile_rematch", """WITH l AS (SELECT p_type, substr(p_name, 1, 4) AS p, min(p_partkey) AS a, count(*) AS n FROM part WHERE p_partkey % 2 = 0 AND p_partkey < 300 AND length(substr(p_name, 1, 4)) = 4 GROUP BY 1, 2), r AS (SELECT p_type, substr(p_name, 1, 4) AS p, min(p_partkey) AS b, count(*) AS n FROM part WHERE p_partkey % 2 = 1 AND p_partkey < 300 AND length(substr(p_name, 1, 4)) = 4 GROUP BY 1, 2)
+@query("reconcile_rematch", """WITH l AS (SELECT p_type, substr(p_name, 1, 4) AS p, min(p_partkey) AS a, count(*) AS n FROM part WHERE p_partkey % 2 = 0 AND length(substr(p_name, 1, 4)) = 4 GROUP BY 1, 2), r AS (SELECT p_type, substr(p_name, 1, 4) AS p, min(p_partkey) AS b, count(*) AS n FROM part WHERE p_partkey % 2 = 1 AND length(substr(p_name, 1, 4)) = 4 GROUP BY 1, 2)
  SELECT a, b FROM l JOIN r USING (p_type, p) WHERE l.n = 1 AND r.n = 1""")
 def reconcile_rematch(spark, sf_dir):
-    part = table(spark, sf_dir, "part").where("p_partkey < 300")
+    part = table(spark, sf_dir, "part")
     return rates.rematch(part.where("p_partkey % 2 = 0").withColumn("a", F.col("p_partkey")), part.where("p_partkey % 2 = 1").withColumn("b", F.col("p_partkey")), "p_type", F.col("p_name"), "a", "b")
 
 
@@ -229,29 +229,39 @@ def window_session(spark, sf_dir):
     return streams.sessions(table(spark, sf_dir, "events"), "ts", "6 hours", "user_id").select("user_id", F.col("session_start").cast("timestamp_ntz").alias("session_start"), F.col("session_end").cast("timestamp_ntz").alias("session_end"), "n")
 
 
-@query("text_replay")
+@query("text_replay", """WITH d AS (SELECT *, source || '/' || doc_id AS work_id, '/' || source || '/rule/' || doc_id AS component_id, doc_id % 3 = 0 AS hit, doc_id % 2 = 0 AS om, substr(text, 1, 40) AS old FROM documents),
+ n AS (SELECT *, CASE WHEN om OR old = '' THEN 1 ELSE (length(text) - length(replace(text, old, ''))) // length(old) END AS k FROM d)
+ SELECT work_id, component_id, text, DATE '2017-07-01' AS valid_from, CASE WHEN hit AND k = 1 THEN DATE '2020-01-01' END AS valid_to, CAST(NULL AS VARCHAR) AS created_by_event_id, '' AS event_chain, 'version' AS outcome, CAST(NULL AS VARCHAR) AS reason FROM n
+ UNION ALL SELECT work_id, component_id, CASE WHEN om THEN '[Omitted]' WHEN old = '' THEN 'In its stead' ELSE replace(text, old, 'In its stead') END, DATE '2020-01-01', NULL, 'e' || doc_id, 'e' || doc_id, 'version', NULL FROM n WHERE hit AND k = 1
+ UNION ALL SELECT work_id, component_id, NULL, DATE '2020-01-01', NULL, 'e' || doc_id, '', 'gap', 'several occurrences' FROM n WHERE hit AND k > 1""")
 def text_replay(spark, sf_dir):
     from vigora.operators import replay
 
-    docs = table(spark, sf_dir, "documents").where("n_chars < 1500")
-    base = docs.select(F.col("source").alias("work_id"), F.concat(F.lit("/"), "source", F.lit("/rule/"), F.col("doc_id").cast("string")).alias("component_id"), "text", F.to_date(F.lit("2017-07-01")).alias("base_date"))
+    # Each document is a work of its own, so that no group grows with the table.
+    docs = table(spark, sf_dir, "documents").withColumn("work", F.concat_ws("/", "source", "doc_id"))
+    base = docs.select(F.col("work").alias("work_id"), F.concat(F.lit("/"), "source", F.lit("/rule/"), F.col("doc_id").cast("string")).alias("component_id"), "text", F.to_date(F.lit("2017-07-01")).alias("base_date"))
     null = F.lit(None)
     events = docs.where("doc_id % 3 = 0").select(
-        F.col("source").alias("work_id"), F.concat(F.lit("e"), F.col("doc_id").cast("string")).alias("event_id"), F.concat(F.lit("/"), "source", F.lit("/rule/"), F.col("doc_id").cast("string")).alias("component_id"), null.cast("string").alias("anchor_id"),
+        F.col("work").alias("work_id"), F.concat(F.lit("e"), F.col("doc_id").cast("string")).alias("event_id"), F.concat(F.lit("/"), "source", F.lit("/rule/"), F.col("doc_id").cast("string")).alias("component_id"), null.cast("string").alias("anchor_id"),
         F.when(F.col("doc_id") % 2 == 0, "OMIT").otherwise("SUBSTITUTE").alias("operation"), F.when(F.col("doc_id") % 2 == 1, F.substring("text", 1, 40)).alias("old_text"), F.lit("In its stead").alias("new_text"),
         null.cast("double").alias("occurrence"), F.lit(False).alias("everywhere"), F.lit(False).alias("before"), F.to_date(F.lit("2020-01-01")).alias("date"), F.col("doc_id").alias("seq"))
-    return replay.replay_text(base, events)
+    return replay.replay_text(base, events).withColumn("event_chain", F.array_join("event_chain", ">"))
 
 
-@query("rate_replay")
+@query("rate_replay", """WITH p AS (SELECT *, p_brand || '/' || CAST(p_partkey // 2000 AS VARCHAR) AS notification, p_partkey % 5 = 0 AS hit, p_partkey % 4 AS k FROM part), r AS (
+  SELECT notification, p_type AS schedule_id, p_partkey, 0 AS part, CAST(p_partkey AS VARCHAR) || CASE WHEN hit AND k = 3 THEN 'Z' ELSE '' END AS sno, lpad(CAST(p_size AS VARCHAR), 4, '0') AS tariff_item, CASE WHEN hit AND k = 1 THEN 'new words' ELSE p_name END AS description, hit AND k = 0 AS is_omitted FROM p
+  UNION ALL SELECT notification, p_type, p_partkey, 1, p_partkey || 'A', '0101', 'new words', false FROM p WHERE hit AND k = 2)
+ SELECT notification, schedule_id, (row_number() OVER (PARTITION BY notification, schedule_id ORDER BY p_partkey, part) - 1)::INTEGER AS pos, sno, tariff_item, description, CAST(NULL AS VARCHAR) AS rate, is_omitted,
+ (SELECT count(*) FROM p WHERE p.hit AND p.notification = r.notification)::INTEGER AS n_applied, 0 AS n_failed FROM r WHERE notification IN (SELECT notification FROM p)""")
 def rate_replay(spark, sf_dir):
     from vigora.operators import replay
 
-    part = table(spark, sf_dir, "part")
-    base = part.select(F.col("p_brand").alias("notification"), F.col("p_type").alias("schedule_id"), F.col("p_partkey").cast("int").alias("pos"), F.col("p_partkey").cast("string").alias("sno"), F.lpad(F.col("p_size").cast("string"), 4, "0").alias("tariff_item"), F.col("p_name").alias("description"), F.lit(False).alias("is_omitted"))
+    # A notification has some eighty entries, however many there are.
+    part = table(spark, sf_dir, "part").withColumn("notification", F.concat_ws("/", "p_brand", F.floor(F.col("p_partkey") / 2000)))
+    base = part.select("notification", F.col("p_type").alias("schedule_id"), F.col("p_partkey").cast("int").alias("pos"), F.col("p_partkey").cast("string").alias("sno"), F.lpad(F.col("p_size").cast("string"), 4, "0").alias("tariff_item"), F.col("p_name").alias("description"), F.lit(False).alias("is_omitted"))
     k, null = F.col("p_partkey") % 4, F.lit(None).cast("string")
     events = part.where("p_partkey % 5 = 0").select(
-        F.col("p_brand").alias("notification"), F.col("p_type").alias("schedule_id"), F.when(k == 0, "RATE_OMIT_ENTRIES").when(k == 1, "RATE_SUBSTITUTE_COLUMN").when(k == 2, "RATE_INSERT_ENTRIES").otherwise("RATE_RENUMBER").alias("operation"),
+        "notification", F.col("p_type").alias("schedule_id"), F.when(k == 0, "RATE_OMIT_ENTRIES").when(k == 1, "RATE_SUBSTITUTE_COLUMN").when(k == 2, "RATE_INSERT_ENTRIES").otherwise("RATE_RENUMBER").alias("operation"),
         F.when(k == 2, F.concat(F.col("p_partkey").cast("string"), F.lit("A"))).otherwise(F.col("p_partkey").cast("string")).alias("sno"), F.lit("3").alias("col"), null.alias("old_value"), F.when(k == 3, F.concat(F.col("p_partkey").cast("string"), F.lit("Z"))).otherwise("new words").alias("new_value"),
         F.lit("0101").alias("tariff_item"), F.when(k == 2, F.col("p_partkey").cast("string")).alias("after_sno"), F.to_date(F.lit("2020-01-01")).alias("effective"), F.to_date(F.lit("2020-01-01")).alias("published"), F.col("p_partkey").alias("seq"))
     return replay.replay_rates(base, events)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from vigora.functions import codes, ids, text as tx
-from vigora.operators import baseline, quality
+from vigora.operators import baseline, quality, search
 from vigora.plans.catalog import query
 from vigora.sources import parsing, readers, render
 from vigora.sources.readers import table
@@ -115,23 +115,18 @@ def rendered_xml(spark, sf_dir):
 
 @query("contamination_semi", "SELECT DISTINCT d.doc_id FROM documents d JOIN benchmark b ON contains(d.text, b.text)")
 def contamination_semi(spark, sf_dir):
-    """Documents that hold a whole benchmark passage. Documents meet passages on the passage's first eight words only; the passage itself is tested after."""
-    head = lambda c: F.array_join(F.slice(F.split(c, r"\s+"), 1, 8), " ")
-    passages = table(spark, sf_dir, "benchmark").select(F.col("text").alias("passage"), head(F.col("text")).alias("h"))
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.split("text", r"\s+").alias("w"))
-    grams = F.when(F.size("w") >= 8, F.transform(F.sequence(F.lit(1), F.size("w") - 7), lambda k: F.array_join(F.slice("w", k, 8), " "))).otherwise(F.array(F.array_join("w", " ")))
-    found = docs.select("doc_id", F.explode(F.array_distinct(grams)).alias("h")).join(passages, "h").select("doc_id", "passage").distinct()
-    return found.join(docs.select("doc_id", "text"), "doc_id").where(F.contains("text", F.col("passage"))).select("doc_id").distinct()
+    """Documents that hold a whole benchmark passage."""
+    return search.holding(table(spark, sf_dir, "documents"), "doc_id", "text", table(spark, sf_dir, "benchmark"), "text")
 
 
 @query("structure_blocks")
 def structure_blocks(spark, sf_dir):
-    return parsing.structure(table(spark, sf_dir, "documents").where("n_chars < 3000"), "doc_id", "text")
+    return parsing.structure(table(spark, sf_dir, "documents"), "doc_id", "text")
 
 
 @query("rate_table_parse")
 def rate_table_parse(spark, sf_dir):
-    part = table(spark, sf_dir, "part").where("p_partkey < 200")
+    part = table(spark, sf_dir, "part")
     line = F.concat((F.col("p_partkey") + 1).cast("string"), F.lit(". "), F.lpad(F.col("p_size").cast("string"), 4, "0"), F.lit(" "), "p_name")
     lines = part.groupBy(F.col("p_brand").alias("notification")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("p_partkey", line.alias("l")))), lambda x: x.l), "\n").alias("text"))
     return parsing.rate_tables(lines.withColumn("text", F.concat(F.lit("Schedule I - 2.5%\n"), "text")))

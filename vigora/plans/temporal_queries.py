@@ -84,9 +84,9 @@ def component_timeline(spark, sf_dir):
     return temporal.intervals(events, "user_id", "ts", "event_id").orderBy("seq").select("user_id", "seq", "event_id", "valid_from", "valid_to", "event_type")
 
 
-@query("amendment_chain", "SELECT event_id, user_id, array_to_string(list(event_id) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING), '>') AS chain FROM events WHERE user_id < 20")
+@query("amendment_chain", "SELECT event_id, user_id, array_to_string(list(event_id) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING), '>') AS chain FROM events")
 def amendment_chain(spark, sf_dir):
-    made = temporal.chains(table(spark, sf_dir, "events").where("user_id < 20"), "user_id", "event_id", "ts", "event_id")
+    made = temporal.chains(table(spark, sf_dir, "events"), "user_id", "event_id", "ts", "event_id")
     return made.select("event_id", "user_id", F.array_join(F.transform("event_chain", lambda x: x.cast("string")), ">").alias("chain"))
 
 
@@ -113,12 +113,12 @@ def shrink_guard(spark, sf_dir):
     return temporal.shrink_guard(docs, "source", "text", "operation", "doc_id").select("doc_id", "source", "guarded", F.length("text").alias("n"))
 
 
-@query("late_events", "SELECT event_id, ts, ts < max(ts) OVER (ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS retrospective FROM events WHERE user_id = 3")
+@query("late_events", "SELECT event_id, ts, ts < max(ts) OVER (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS retrospective FROM events")
 def late_events(spark, sf_dir):
     from pyspark.sql import Window
 
     w = Window.partitionBy("user_id").orderBy("event_id").rowsBetween(Window.unboundedPreceding, -1)
-    return table(spark, sf_dir, "events").where("user_id = 3").select("event_id", "ts", (F.col("ts") < F.max("ts").over(w)).alias("retrospective"))
+    return table(spark, sf_dir, "events").select("event_id", "ts", (F.col("ts") < F.max("ts").over(w)).alias("retrospective"))
 
 
 @query("inherited_context", "SELECT event_id, last_value(CASE WHEN event_type = 'signup' THEN event_id END IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS context FROM events")

@@ -57,14 +57,23 @@ def lexical_topk(spark, sf_dir):
     return search.top_k(docs, score, "doc_id", 25, F.length(F.col("doc_id").cast("string"))).select("doc_id", F.col("score").cast("bigint").alias("score"))
 
 
-@query("snippet_window", f"""WITH c AS (SELECT doc_id, {CLEAN} AS t FROM documents), h AS (SELECT *, CASE WHEN strpos(lower(t), 'from') > 0 THEN strpos(lower(t), 'from') WHEN strpos(lower(t), 'with') > 0 THEN strpos(lower(t), 'with') ELSE 1 END AS hit FROM c),
+@query("snippet_window", f"""WITH c AS (SELECT doc_id, {CLEAN} AS t FROM documents), h AS (SELECT *, least(nullif(strpos(lower(t), 'from'), 0), nullif(strpos(lower(t), 'with'), 0)) AS hit FROM c),
  s AS (SELECT *, greatest(1, hit - 86) AS st FROM h)
- SELECT doc_id, CASE WHEN length(t) <= 260 THEN t ELSE (CASE WHEN st > 1 THEN '...' ELSE '' END) || trim(substr(t, st, 260)) || (CASE WHEN st + 259 < length(t) THEN '...' ELSE '' END) END AS snippet FROM s""")
+ SELECT doc_id, CASE WHEN hit IS NULL THEN substr(t, 1, 260) ELSE (CASE WHEN st > 1 THEN '...' ELSE '' END) || trim(substr(t, st, 260)) || (CASE WHEN st + 259 < length(t) THEN '...' ELSE '' END) END AS snippet FROM s""")
 def snippet_window(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", tx.snippet("text", ["from", "with"]).alias("snippet"))
 
 
-@query("chunk_text")
+def chunk_sql(most: int, overlap: int) -> str:
+    """Windows one after the other: the last blank of a window, from its reversed text, ends it where it lies past the middle."""
+    end = f"CASE WHEN s + {most} >= length(t) THEN length(t) WHEN strpos(reverse(substr(t, s + 1, {most})), ' ') BETWEEN 1 AND {most} - {most // 2} - 1 THEN s + {most} - strpos(reverse(substr(t, s + 1, {most})), ' ') + 1 ELSE s + {most} END"
+    return f"""WITH RECURSIVE c AS (SELECT doc_id, {CLEAN} AS t FROM documents), w(doc_id, t, i, s, e) AS (
+  SELECT doc_id, t, 1, 0, {end} FROM (SELECT doc_id, t, 0 AS s FROM c WHERE t <> '')
+  UNION ALL SELECT doc_id, t, i, s, {end} FROM (SELECT doc_id, t, i + 1 AS i, greatest(s + 1, e - {overlap}) AS s FROM w WHERE e < length(t)))
+ SELECT doc_id || '#chunk-' || lpad(CAST(i AS VARCHAR), 4, '0') AS chunk_id, doc_id, i::INTEGER AS chunk_index, trim(substr(t, s + 1, e - s)) AS text, greatest(1, length(trim(substr(t, s + 1, e - s))) // 4)::INTEGER AS token_estimate FROM w"""
+
+
+@query("chunk_text", chunk_sql(900, 120))
 def chunk_text(spark, sf_dir):
     return search.chunked(table(spark, sf_dir, "documents"), "doc_id", "text", 900, 120)
 
@@ -116,9 +125,9 @@ def matched_vectors(spark, sf_dir):
     return search.matched(both, vectors.join(docs.select("doc_id"), "doc_id", "left_semi").select("doc_id"), "doc_id").select(F.col("doc_id").alias("vec_id"), "n_chars")
 
 
-@query("search_records", f"SELECT doc_id, len({TOKENS}) AS token_count, len(list_distinct({TOKENS})) AS n_terms FROM documents WHERE n_chars < 2000")
+@query("search_records", f"SELECT doc_id, len({TOKENS}) AS token_count, len(list_distinct({TOKENS})) AS n_terms FROM documents")
 def search_records(spark, sf_dir):
-    made = search.records(table(spark, sf_dir, "documents").where("n_chars < 2000"), "doc_id", F.col("text"))
+    made = search.records(table(spark, sf_dir, "documents"), "doc_id", F.col("text"))
     return made.select("doc_id", F.col("token_count").cast("bigint").alias("token_count"), F.size("term_counts").cast("bigint").alias("n_terms"))
 
 

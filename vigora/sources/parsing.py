@@ -163,7 +163,7 @@ def serial_list(text: str) -> list[str]:
             out.append(a + x)
         elif a == b and len(x) == len(y) == 1:
             out += [a + chr(c) for c in range(ord(x), ord(y) + 1)]
-        elif not x and not y and int(b) - int(a) < 1000:
+        elif not x and not y and int(a) <= int(b):
             out += [str(k) for k in range(int(a), int(b) + 1)]
         else:
             out += [a + x, b + y]
