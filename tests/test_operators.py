@@ -217,3 +217,42 @@ def test_service(spark):
     assert made["text_changed"] and "-a" in made["unified_diff"] and "+b" in made["unified_diff"] and made["n_events"] == 1
     assert s.amendments("/w/rule/1").count() == 1 and s.evidence("/w/rule/1", "2019-01-01", "2021-01-01")["citation_ready"]
     assert valid_date("2020-02-29") and not valid_date("2021-02-29")
+
+
+def event(op, component, old=None, new=None, **more):
+    return {"event_id": "e", "component_id": component, "anchor_id": None, "operation": op, "old_text": old, "new_text": new, "occurrence": None, "everywhere": False, "before": False, "date": d("2020-01-01")} | more
+
+
+RULE = "(1) Every person shall apply. (2) The officer shall reply as in sub-rule (1) and in time. 3 Substituted on that day for: (2) The old. (3) No fee is due."
+
+
+def test_subrules_in_a_rule_s_text():
+    assert [x for x, _ in replay.subrule_starts(RULE)] == ["1", "2", "3"]
+    assert RULE[slice(*replay.subrule_span(RULE, "2"))] == "(2) The officer shall reply as in sub-rule (1) and in time."
+    assert replay.subrule_span(RULE, "4") is None and replay.subrule_span("(1) A. (1) The.", "1") is None
+
+
+def test_events_on_subrules_that_only_their_rule_has():
+    def state():
+        return replay.TextState({"/r/rule/5": RULE}, d("2017-07-01"))
+
+    s = state()
+    assert s.apply(event("SUBSTITUTE", "/r/rule/5/subrule/1", "person", "firm")) == "applied"
+    assert s.now["/r/rule/5/subrule/1"] == "(1) Every firm shall apply." and s.now["/r/rule/5"].startswith("(1) Every firm shall apply. (2)")
+    s = state()
+    assert s.apply(event("OMIT", "/r/rule/5/subrule/3")) == "applied"
+    assert s.now["/r/rule/5"].endswith("The old. [Omitted]") and s.now["/r/rule/5/subrule/3"] == "[Omitted]"
+    s = state()
+    assert s.apply(event("SUBSTITUTE", "/r/rule/5/subrule/2", None, "(2) The office is silent.")) == "applied"
+    assert "(2) The office is silent. 3 Substituted" in s.now["/r/rule/5"]
+    s = state()
+    assert s.apply(event("INSERT_CHILD", "/r/rule/5/subrule/3/proviso/1", None, "Provided that it may be.", anchor_id="/r/rule/5/subrule/3")) == "applied"
+    assert s.now["/r/rule/5"].endswith("(3) No fee is due.\nProvided that it may be.")
+    s = state()
+    assert s.apply(event("SPLICE", "/r/rule/5/explanation/9", "No fee", "or tax")) == "applied"
+    assert s.now["/r/rule/5"].endswith("(3) No fee or tax is due.") and s.now["/r/rule/5/explanation/9"] == "or tax"
+    s = state()
+    with pytest.raises(LookupError):
+        s.apply(event("SUBSTITUTE", "/r/rule/5/subrule/9", None, "x"))
+    with pytest.raises(LookupError):
+        s.apply(event("OMIT", "/r/rule/6/subrule/1", "x"))

@@ -84,8 +84,45 @@ def parent(component: str) -> str | None:
     return head or None
 
 
+# What stands before a number in brackets that begins no sub-rule, what follows one that does, and notes on history.
+REFERS = re.compile(r"(?i)(?:sub-?\s*(?:rule|section)|section|clause|proviso|rule)\s*$")
+QUOTES_HISTORY = re.compile(r"(?is)\b(?:Inserted|Substituted|Omitted|Amended)\b.{0,160}\bfor\s*:\s*[\"'`“‘―-]?\s*$")
+MAY_END = re.compile(r"[\s.\]\):;,\-–—\"'“‘\[]$")
+MAY_BEGIN = re.compile(r"(?i)\s*(?:[A-Z\[]|No\b|Where\b|The\b|Any\b|Every\b|Notwithstanding\b|For\b|Upon\b|In\b|A\b|An\b)")
+HISTORY = re.compile(r"(?is)\s+\d+\s*(?:Inserted|Substituted|Omitted|Amended)\b.{0,220}\bfor\s*:")
+
+
+def subrule_starts(text: str) -> list[tuple[str, int]]:
+    """(label, place) of the numbers in brackets that begin a sub-rule; references and quoted history are none."""
+    out = []
+    for m in re.finditer(r"\((\d+[A-Za-z]?)\)", text):
+        before = text[max(0, m.start() - 220) : m.start()]
+        kept = before.rstrip()
+        if (not kept or MAY_END.search(kept)) and MAY_BEGIN.match(text, m.end()) and not REFERS.search(before) and not QUOTES_HISTORY.search(before):
+            out.append((m[1].upper(), m.start()))
+    return out
+
+
+def subrule_span(text: str, label: str) -> tuple[int, int] | None:
+    """Where a sub-rule stands in its rule's text, up to the next one or a note on its history; None if it is not there exactly once."""
+    starts = subrule_starts(text)
+    mine = [k for k, (x, _) in enumerate(starts) if x == label.upper()]
+    if not label or len(mine) != 1:
+        return None
+    begin = starts[mine[0]][1]
+    end = starts[mine[0] + 1][1] if mine[0] + 1 < len(starts) else len(text)
+    note = HISTORY.search(text, begin, end)
+    return begin, (note.start() if note else end)
+
+
 class TextState:
-    """Dated versions of a work's components."""
+    """Dated versions of a work's components.
+
+    A sub-rule that is no component yet, but stands in its rule's text, becomes
+    one when an event first needs it; a text edit whose target is nowhere goes
+    to the text of its parent. What a component becomes, its parent's text
+    becomes too, where it holds the component's text once.
+    """
 
     def __init__(self, base: dict[str, str], base_date):
         self.now = dict(base)
@@ -106,10 +143,9 @@ class TextState:
     def apply(self, e: dict) -> str:
         """Applies one event; 'applied', 'already_reflected', or an EditError with the reason."""
         op, target, old, new = e["operation"], e["component_id"], e["old_text"] or "", e["new_text"] or ""
-        everywhere = bool(e["everywhere"])
         if op in ("INSERT_SIBLING", "INSERT_CHILD"):
             anchor = e["anchor_id"]
-            if not anchor or anchor not in self.now:
+            if not anchor or not self.known(anchor):
                 raise LookupError("anchor component missing")
             if target in self.now:
                 if self.now[target] == new:
@@ -117,32 +153,68 @@ class TextState:
                 raise EditError("component exists")
             self.put(target, new, e["date"], e["event_id"])
             if op == "INSERT_CHILD":
-                self.put(anchor, (self.now[anchor] + "\n" + new).strip(), e["date"], e["event_id"])
+                before = self.now[anchor]
+                self.put(anchor, (before + "\n" + new).strip(), e["date"], e["event_id"])
+                self.sync(anchor, before, e)
             return "applied"
-        if target not in self.now:
+        if not self.known(target):
+            if old and op in ("SPLICE", "SUBSTITUTE", "OMIT") and (above := parent(target)) in self.now:
+                return self.edit_parent(above, e)
             raise LookupError("target component missing")
         text = self.now[target]
+        made = self.edited(target, e)
+        if made is None:
+            return "already_reflected"
+        self.put(target, made, e["date"], e["event_id"])
+        if text != made:
+            self.sync(target, text, e)
+        return "applied"
+
+    def edited(self, component: str, e: dict) -> str | None:
+        """The component's text after a text edit; None if it shows the edit already."""
+        op, old, new, everywhere, text = e["operation"], e["old_text"] or "", e["new_text"] or "", bool(e["everywhere"]), self.now[component]
         try:
             if op == "SUBSTITUTE":
-                made = new if not old else replace_unique(text, old, new, e["occurrence"] if e["occurrence"] == e["occurrence"] else None, everywhere)
-            elif op == "SPLICE":
+                return new if not old else replace_unique(text, old, new, e["occurrence"] if e["occurrence"] == e["occurrence"] else None, everywhere)
+            if op == "SPLICE":
                 made, warning = splice(text, old, new, bool(e["before"]))
-                if warning:
-                    return "already_reflected"
-            elif op == "OMIT":
-                made = omit(text, old or None, everywhere)
-            elif op == "CORRIGENDUM":
-                made = replace_unique(text, old, new, everywhere=everywhere)
-            else:
-                raise EditError("unsupported operation")
+                return None if warning else made
+            if op == "OMIT":
+                return omit(text, old or None, everywhere)
+            if op == "CORRIGENDUM":
+                return replace_unique(text, old, new, everywhere=everywhere)
         except EditError:
-            if op == "SUBSTITUTE" and new and (new in text or new in self.base.get(target, "")) or op == "OMIT" and old and old not in text:
-                return "already_reflected"
+            if op == "SUBSTITUTE" and new and (new in text or new in self.base.get(component, "")) or op == "OMIT" and old and old not in text:
+                return None
             raise
-        self.put(target, made, e["date"], e["event_id"])
-        above = parent(target)
-        if above in self.now and self.now[above].count(text) == 1 and text != made:
-            self.put(above, self.now[above].replace(text, made, 1), e["date"], e["event_id"])
+        raise EditError("unsupported operation")
+
+    def known(self, component: str) -> bool:
+        """Whether there is such a component; a sub-rule in its rule's text becomes one, without a version of its own so far."""
+        if component not in self.now and "/subrule/" in component and (above := parent(component)) in self.now:
+            if (span := subrule_span(self.now[above], component.rpartition("/")[2])) is not None:
+                self.now[component] = self.now[above][slice(*span)].strip()
+        return component in self.now
+
+    def sync(self, component: str, before: str, e: dict) -> None:
+        """The parent's text follows, where it holds the component's former text once."""
+        above = parent(component)
+        if above in self.now and before and self.now[above].count(before) == 1:
+            whole = self.now[above]
+            self.put(above, whole.replace(before, self.now[component], 1), e["date"], e["event_id"])
+            self.sync(above, whole, e)
+
+    def edit_parent(self, above: str, e: dict) -> str:
+        """A text edit for a component that is nowhere, made in its parent's text; the component gets what the parent then has of it, else the new text."""
+        before = self.now[above]
+        made = self.edited(above, e)
+        if made is None:
+            return "already_reflected"
+        self.put(above, made, e["date"], e["event_id"])
+        span = subrule_span(made, e["component_id"].rpartition("/")[2])
+        if own := (made[slice(*span)].strip() if span else (e["new_text"] or "").strip()):
+            self.put(e["component_id"], own, e["date"], e["event_id"])
+        self.sync(above, before, e)
         return "applied"
 
 
