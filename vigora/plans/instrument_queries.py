@@ -37,8 +37,8 @@ def rate_locators(spark, sf_dir):
     return table(spark, sf_dir, "part").select("p_partkey", ins.rate_locator(F.concat("p_brand", spec), ["Brand#11"]).alias("l")).select("p_partkey", "l.*")
 
 
-@query("operation_families", "SELECT CASE p_size % 5 WHEN 0 THEN 'INSERT' WHEN 1 THEN 'INSERT' WHEN 2 THEN 'TEXT_EDIT' WHEN 3 THEN 'TEXT_EDIT' ELSE 'OMIT' END AS family, count(*) AS n FROM part GROUP BY 1")
-def operation_families(spark, sf_dir):
+@query("families_of_operations", "SELECT CASE p_size % 5 WHEN 0 THEN 'INSERT' WHEN 1 THEN 'INSERT' WHEN 2 THEN 'TEXT_EDIT' WHEN 3 THEN 'TEXT_EDIT' ELSE 'OMIT' END AS family, count(*) AS n FROM part GROUP BY 1")
+def families_of_operations(spark, sf_dir):
     k = F.col("p_size") % 5
     op = F.when(k == 0, "INSERT_CHILD").when(k == 1, "INSERT_SIBLING").when(k == 2, "SPLICE").when(k == 3, "SUBSTITUTE").otherwise("OMIT")
     return table(spark, sf_dir, "part").groupBy(ins.operation_family(op).alias("family")).agg(F.count("*").alias("n"))
