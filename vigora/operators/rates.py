@@ -60,9 +60,8 @@ def serial_gaps(entries: DataFrame, group: list[str], number: Column) -> DataFra
 
 def implausible(entries: DataFrame, group: list[str], number: Column) -> DataFrame:
     """Numbers over max(100, 3 * entries of the schedule)."""
-    rows = entries.withColumn("_num", number)
-    n = F.count("*").over(Window.partitionBy(*group))
-    return rows.withColumn("_n", n).where(F.col("_num") > F.greatest(F.lit(100), 3 * F.col("_n"))).drop("_num", "_n")
+    sizes = entries.groupBy(*group).agg(F.count("*").alias("_n"))
+    return entries.withColumn("_num", number).where("_num > 100").join(sizes, group).where(F.col("_num") > 3 * F.col("_n")).select(*entries.columns)
 
 
 def code_overlap(entries: DataFrame, code: str, schedule: str, description: Column) -> DataFrame:

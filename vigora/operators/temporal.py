@@ -29,13 +29,27 @@ def covers(start: Column | str, end: Column | str, date: Column) -> Column:
 def as_of(versions: DataFrame, key: str, date: Column, start: str = "valid_from", end: str = "valid_to", tie: str | None = None) -> DataFrame:
     """The version of each key that is in force; keys without one have no row.
 
-    The filter reaches the scan; the rest is one map-side combined aggregate.
+    For versions that are stored with their ends: the filter reaches the scan,
+    the rest is one map-side combined aggregate. From bare events, see in_force.
     """
     row = F.struct(*versions.columns)
     order = F.struct(start, tie) if tie else F.col(start)
     return versions.where(covers(start, end, date)).groupBy(F.col(key).alias("_key")).agg(F.max_by(row, order).alias("_row")).select("_row.*")
 
 
+def in_force(events: DataFrame, key: str, at: str, date: Column, *order: str) -> DataFrame:
+    """The version of each key that is in force, from the events that open versions; added: seq, valid_from, valid_to.
+
+    The same rows as ``as_of`` on ``intervals``, without ordering any key's
+    history: the last event up to the date, how many there are, and when the
+    first later one is, all in one map-side combined aggregate.
+    """
+    now = F.col(at) <= date
+    last = F.max_by(F.when(now, F.struct(*events.columns)), F.when(now, F.struct(at, *order)))
+    made = events.groupBy(F.col(key).alias("_key")).agg(last.alias("_row"), F.count(F.when(now, 1)).alias("seq"), F.min(F.when(F.col(at) > date, F.col(at))).alias("valid_to"))
+    return made.where("seq > 0").select("_row.*", "seq", F.col(f"_row.{at}").alias("valid_from"), "valid_to")
+
+
 def last_known(versions: DataFrame, key: str, date: Column, start: str = "valid_from", tie: str | None = None) -> DataFrame:
     """The latest version that began on or before the date, whether or not it has ended."""
     order = F.struct(start, tie) if tie else F.col(start)

@@ -35,7 +35,7 @@ COLUMNS = "event_id, user_id, seq, valid_from, valid_to, event_type, value"
 
 @query("as_of_lookup", f"SELECT {COLUMNS} FROM ({VERSIONS}) WHERE {COVER.format(AT)}")
 def as_of_lookup(spark, sf_dir):
-    return temporal.as_of(versions(spark, sf_dir), "user_id", day(AT), tie="event_id").select(*COLUMNS.split(", "))
+    return temporal.in_force(table(spark, sf_dir, "events"), "user_id", "ts", day(AT), "event_id").select(*COLUMNS.split(", "))
 
 
 @query("as_of_or_last", f"""SELECT user_id, event_id, event_type, in_force FROM (SELECT *, {COVER.format('2024-01-01 06:00:00')} AS in_force,
