@@ -23,7 +23,7 @@ def query(name: str, sql: str | None = None):
 
 
 def _register() -> None:
-    from vigora.plans import graph_queries, instrument_queries, ledger_queries, rate_queries, record_queries, temporal_queries, text_queries  # noqa: F401
+    from vigora.plans import graph_queries, instrument_queries, ledger_queries, rate_queries, record_queries, review_queries, temporal_queries, text_queries  # noqa: F401
 
 
 _register()
