@@ -1,20 +1,27 @@
 """Toxicity by a weighted finite-state pattern grammar.
 
 Words of a clause become symbols: insult, threat, target, negation, reported
-speech, other. Three sequential transducers - negation, reported speech,
-targets - are composed into one, which rewrites each insult or threat into the
-pattern in which it stands ("insult", "insult+target", "insult+negated", ...).
-Clauses are scored by their patterns, not by isolated words; a document's score
-is the noisy-or of its clauses over the rate of documents without a match.
+speech, other. The arcs of the transducers have weights, which multiply along a
+path, and when transducers are composed: insults and threats have their own, an
+arc that finds one in the scope of a negation, of reported speech or of a target
+has that mark's. Negation, reported speech and targets before the word are
+composed into one machine, which reads a clause forward; targets after the word
+are found by another, which reads what the first has written backward, so that
+"idiot, you" is seen as "you idiot" is. A clause scores its heaviest word, with
+the weight of the word in the lexicon; a document's score is the noisy-or of its
+clauses over the rate of documents without a match.
 
 The insult lexicon (whole words, and stems that stand for all words beginning
-with them) and the patterns' weights are learned from labelled rows. Targets,
+with them) and the arcs' weights are learned from labelled rows. Targets,
 negators, reporting verbs and threats are closed word lists below.
 
-Defined results: null or empty texts have no match and get the base rate; null
-labels are not learned from; repeated rows are scored alike, and a repeated
-label row counts once (the larger label); with no labels the lexicon is empty
-and every score is the default base rate.
+Defined results: null or empty texts have no match and get the base rate; very
+long texts are scored whole, clause by clause; null labels are not learned from;
+repeated rows are scored alike, each for itself, and a repeated label row counts
+once (the larger label); of equally good features the word comes before the
+stem, then the more frequent, then the shorter; with no labels the lexicon is
+empty and every score is the default base rate; an empty table gives no rows;
+other columns, whatever their names, take no part.
 """
 
 from __future__ import annotations
@@ -35,18 +42,23 @@ NEGATORS = "not never no isn't aren't wasn't nobody nicht kein keine nie jamais
 REPORTERS = "said says say called calls claimed wrote quoted reported alleged sagte nannte schrieb behauptete dit appelé écrit prétend dijo llamó escribió afirmó".split()
 THREATS = "kill murder strangle stab shoot umbringen töten erschießen tuer étrangler poignarder matar asesinar apuñalar".split()
 INSULT, THREAT, TARGET, NEGATION, REPORT, OTHER = "itynro"
-#: What a clause's pattern is worth before anything is learned.
-PRIOR = {"insult": 0.8, "insult+target": 0.9, "insult+negated": 0.3, "insult+reported": 0.3, "insult+negated+reported": 0.2, "threat": 0.2, "threat+target": 0.6, "threat+negated": 0.1, "threat+reported": 0.15, "threat+negated+reported": 0.1}
+#: Marks that a word may get from what stands around it, and what the arcs weigh before anything is learned.
+NEGATED, REPORTED, TARGETED = "-", "\"", "@"
+MARKS = NEGATED + REPORTED + TARGETED
+PRIOR = {INSULT: 0.8, THREAT: 0.2, INSULT + NEGATED: 0.4, INSULT + REPORTED: 0.4, INSULT + TARGETED: 1.1, THREAT + NEGATED: 0.5, THREAT + REPORTED: 0.7, THREAT + TARGETED: 3.0}
+NAMES = {INSULT: "insult", THREAT: "threat", NEGATED: "negated", REPORTED: "reported", TARGETED: "target"}
+#: No mark makes a word count more than this, or less.
+LEAST_MARK, MOST_MARK = 0.05, 20.0
 #: Weight of the prior, in documents.
 PRIOR_DOCUMENTS = 8
-#: Bound on the labelled rows learned from (those with the smallest hashes), and on the lexicon.
-MAX_LABELLED, MAX_LEXICON, STEMS = 20_000, 4_000, (4, 5, 6, 7)
+#: Bound on the labelled rows learned from (those with the smallest hashes), and the lengths of stems.
+MAX_LABELLED, STEMS = 20_000, (4, 5, 6, 7)
 THRESHOLD = 0.3
 WORD, CLAUSE = re.compile(r"[^\W\d_]+(?:'[^\W\d_]+)?"), re.compile(r"[.!?;\n]+")
 
 
 class Transducer:
-    """A complete sequential transducer: (state, symbol) -> (state, symbol); unknown symbols pass and move by ``default``."""
+    """A complete sequential transducer with weights: (state, symbol) -> (state, symbol, weight); unknown symbols pass with weight 1 and move by ``default``."""
 
     def __init__(self, arcs: dict, default: dict, start=0):
         self.arcs, self.default, self.start = arcs, default, start
@@ -54,10 +66,10 @@ class Transducer:
     def step(self, state, symbol):
         if (found := self.arcs.get((state, symbol))) is not None:
             return found
-        return self.default[state], symbol
+        return self.default[state], symbol, 1.0
 
     def compose(self, other: Transducer, symbols: str) -> Transducer:
-        """The transducer that applies ``self``, then ``other``, by the product construction over reachable states."""
+        """The transducer that applies ``self``, then ``other``, by the product construction over reachable states; weights multiply."""
         start, arcs, default, todo = (self.start, other.start), {}, {}, [(self.start, other.start)]
         while todo:
             state = todo.pop()
@@ -65,62 +77,62 @@ class Transducer:
                 continue
             default[state] = (self.default[state[0]], other.default[state[1]])
             for symbol in symbols:
-                a, middle = self.step(state[0], symbol)
-                b, out = other.step(state[1], middle)
-                arcs[state, symbol] = ((a, b), out)
+                a, middle, x = self.step(state[0], symbol)
+                b, out, y = other.step(state[1], middle)
+                arcs[state, symbol] = ((a, b), out, x * y)
                 todo.append((a, b))
             todo.append(default[state])
         return Transducer(arcs, default, start)
 
-    def run(self, symbols):
-        state, out = self.start, []
-        for symbol in symbols:
-            state, made = self.step(state, symbol)
+    def run(self, symbols, weights):
+        """Output symbols and weights, each weight times that of the arc taken."""
+        state, out, heavy = self.start, [], []
+        for symbol, w in zip(symbols, weights):
+            state, made, x = self.step(state, symbol)
             out.append(made)
-        return out
+            heavy.append(w * x)
+        return out, heavy
 
 
-def _scoped(trigger: str, mark: str, scope: int) -> Transducer:
-    """Marks insults and threats within ``scope`` words after ``trigger``."""
+#: All that an insult or threat may have become: its symbol and the marks so far, in the order in which they are given.
+WRITTEN = [base + n + r + t for base in (INSULT, THREAT) for n in ("", NEGATED) for r in ("", REPORTED) for t in ("", TARGETED)]
+
+
+def _scoped(trigger: str, mark: str, scope: int, weights: dict[str, float]) -> Transducer:
+    """Marks insults and threats within ``scope`` words after ``trigger``, where they have no such mark, with the weight of the mark for such a word."""
     arcs, default = {}, {0: 0} | {k: k - 1 for k in range(1, scope + 1)}
     for state in default:
-        arcs[state, trigger] = (scope, OTHER)
+        arcs[state, trigger] = (scope, trigger, 1.0)
         if state:
-            for base in (INSULT, THREAT, INSULT + "-", THREAT + "-"):
-                arcs[state, base] = (default[state], base + mark)
+            for base in WRITTEN:
+                if mark not in base:
+                    arcs[state, base] = (default[state], base + mark, weights[base[0] + mark])
     return Transducer(arcs, default)
 
 
-def grammar() -> Transducer:
-    """negation o reported speech o target, over word symbols; output symbols hold the pattern's marks."""
+def grammar(weights: dict[str, float]) -> tuple[Transducer, Transducer]:
+    """The machine that reads forward (words o negation o reported speech o targets before) and that which reads backward (targets after)."""
     symbols = INSULT + THREAT + TARGET + NEGATION + REPORT + OTHER
-    targets, default = {}, {0: 0} | {k: k - 1 for k in range(1, 5)}
-    for state in default:
-        targets[state, TARGET] = (4, OTHER)
-        if state:
-            for base in (INSULT, THREAT, INSULT + "-", THREAT + "-", INSULT + "\"", THREAT + "\"", INSULT + "-\"", THREAT + "-\""):
-                targets[state, base] = (default[state], base + "@")
-    return _scoped(NEGATION, "-", 3).compose(_scoped(REPORT, "\"", 8), symbols).compose(Transducer(targets, default), symbols)
+    words = Transducer({(0, s): (0, s, weights[s]) for s in (INSULT, THREAT)}, {0: 0})
+    forward = words.compose(_scoped(NEGATION, NEGATED, 3, weights), symbols).compose(_scoped(REPORT, REPORTED, 8, weights), symbols)
+    return forward.compose(_scoped(TARGET, TARGETED, 4, weights), symbols), _scoped(TARGET, TARGETED, 2, weights)
 
 
-def _pattern(symbol: str) -> str | None:
-    if symbol[0] not in (INSULT, THREAT):
-        return None
-    name = "insult" if symbol[0] == INSULT else "threat"
-    marks = ("+negated" if "-" in symbol else "") + ("+reported" if "\"" in symbol else "")
-    return name + (marks or ("+target" if "@" in symbol else ""))
+def _name(symbol: str) -> str:
+    """A written symbol as words: "insult+negated+target"."""
+    return "+".join(NAMES[c] for c in symbol)
 
 
 @dataclass
 class Model:
     words: dict[str, float] = field(default_factory=dict)
     stems: dict[str, float] = field(default_factory=dict)
-    patterns: dict[str, float] = field(default_factory=lambda: dict(PRIOR))
+    arcs: dict[str, float] = field(default_factory=lambda: dict(PRIOR))
     base: float = 0.05
 
     def compiled(self):
-        """text -> the (pattern, lexical weight) of each clause that has one."""
-        machine, closed = grammar(), {}
+        """text -> the written symbol and the weight of the heaviest word of each clause that has one."""
+        (forward, backward), closed = grammar(self.arcs), {}
         for kind, words in ((TARGET, TARGETS), (NEGATION, NEGATORS), (REPORT, REPORTERS), (THREAT, THREATS)):
             closed |= dict.fromkeys(words, kind)
         strong = [re.escape(w) for w in sorted([*self.words, *THREATS], key=len, reverse=True)]
@@ -145,9 +157,12 @@ class Model:
                 b = CLAUSE.search(low, m.end())
                 end = b.start() if b else len(low)
                 words = [symbol(w) for w in WORD.findall(low[a:end])]
-                made = [(p, w) for (_, w), s in zip(words, machine.run([k for k, _ in words])) if (p := _pattern(s))]
+                written, heavy = forward.run([k for k, _ in words], [x for _, x in words])
+                written, heavy = backward.run(written[::-1], heavy[::-1])
+                made = [(min(w, 1.0), k, s) for k, (s, w) in enumerate(zip(written, heavy)) if s[0] in (INSULT, THREAT)]
                 if made:
-                    out.append(max(made, key=lambda x: self.patterns[x[0]] * x[1]))
+                    w, _, s = max(made, key=lambda x: x[:2])
+                    out.append((s, w))
             return out
 
         return clauses
@@ -157,7 +172,7 @@ class Model:
 
         def score(text: str | None) -> tuple[float, list[tuple[str, float]]]:
             found = clauses(text) if text else []
-            clean = math.log1p(-self.base) + sum(math.log1p(-min(0.9999, self.patterns[p] * w)) for p, w in found)
+            clean = math.log1p(-self.base) + sum(math.log1p(-min(0.9999, w)) for _, w in found)
             return 1 - math.exp(clean), found
 
         return score
@@ -178,7 +193,7 @@ def sample(labels: DataFrame, limit: int = MAX_LABELLED) -> DataFrame:
 
 
 def fit(documents: DataFrame, labels: DataFrame, limit: int = MAX_LABELLED) -> Model:
-    """Learns the lexicon, by a greedy cover of the toxic documents with words and stems that clean documents lack, and the patterns' weights."""
+    """Learns the lexicon, by a greedy cover of the toxic documents with words and stems that clean documents lack, and the arcs' weights."""
     marked = documents.select("doc_id", "text").join(F.broadcast(sample(labels, limit)), "doc_id")
 
     def count():
@@ -193,8 +208,8 @@ def fit(documents: DataFrame, labels: DataFrame, limit: int = MAX_LABELLED) -> M
     counts = map_arrow(marked.select("text", "toxic"), count, "feature string, pos long, neg long", rows=4096)
     candidates = (
         counts.groupBy("feature").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
-        .where("pos >= 3 AND pos >= 20 * neg").orderBy(F.desc("pos"), "feature").limit(MAX_LEXICON).collect()
-    )  # of a sample of fixed size, so that the tasks with rows are few
+        .where("pos >= 3 AND pos >= 20 * neg").collect()
+    )  # of a sample of fixed size, so bounded
     known = {r.feature: (r.pos, r.neg) for r in candidates}
     model = Model()
 
@@ -216,34 +231,54 @@ def fit(documents: DataFrame, labels: DataFrame, limit: int = MAX_LABELLED) -> M
         (model.words if best[0] == "w" else model.stems)[best[1:]] = (pos + 0.5) / (pos + neg + 1)
         left = {k: fs for k, fs in left.items() if best not in fs}
 
-    def patterns():
+    def marks():
         clauses = model.compiled()
 
         def f(c):
             seen = defaultdict(lambda: [0, 0])
             for text, toxic in zip(c["text"], c["toxic"]):
-                for x in {p for p, _ in clauses(text or "")} or {""}:
-                    seen[x][toxic > 0] += 1
-            return {"pattern": list(seen), "pos": [v[1] for v in seen.values()], "neg": [v[0] for v in seen.values()]}
+                found = clauses(text or "")
+                # Each document counts for its heaviest clause.
+                seen[max(found, key=lambda x: x[1])[0] if found else ""][toxic > 0] += 1
+            return {"written": list(seen), "pos": [v[1] for v in seen.values()], "neg": [v[0] for v in seen.values()]}
         return f
 
-    for r in map_arrow(marked.select("text", "toxic"), patterns, "pattern string, pos long, neg long").groupBy("pattern").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg")).collect():
-        if r.pattern:
-            model.patterns[r.pattern] = (r.pos + PRIOR_DOCUMENTS * PRIOR[r.pattern]) / (r.pos + r.neg + PRIOR_DOCUMENTS)
-        else:
-            model.base = min(0.25, (r.pos + 0.5) / (r.pos + r.neg + 1))
+    seen = {r.written: (r.pos, r.neg) for r in map_arrow(marked.select("text", "toxic"), marks, "written string, pos long, neg long").groupBy("written").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg")).collect()}
+    model.arcs = learned(seen)
+    if "" in seen:
+        pos, neg = seen[""]
+        model.base = min(0.25, (pos + 0.5) / (pos + neg + 1))
     return model
 
 
+def learned(seen: dict[str, tuple[int, int]]) -> dict[str, float]:
+    """The arcs' weights from the toxic and other documents by written symbol.
+
+    A word's weight is the rate of toxic documents among those where it has no
+    mark; a mark's is the rate among those where the word has it, over what these
+    weigh without it. Both are smoothed towards the prior.
+    """
+    arcs = dict(PRIOR)
+    for base in (INSULT, THREAT):
+        pos, neg = seen.get(base, (0, 0))
+        arcs[base] = (pos + PRIOR_DOCUMENTS * PRIOR[base]) / (pos + neg + PRIOR_DOCUMENTS)
+        for mark in MARKS:
+            mine = [seen[s] for s in seen if s and s[0] == base and mark in s]
+            expected = arcs[base] * (sum(p + n for p, n in mine) + PRIOR_DOCUMENTS)
+            found = sum(p for p, _ in mine) + PRIOR_DOCUMENTS * arcs[base] * PRIOR[base + mark]
+            arcs[base + mark] = min(MOST_MARK, max(LEAST_MARK, found / expected))
+    return arcs
+
+
 def score(documents: DataFrame, model: Model) -> DataFrame:
-    """doc_id, score, n_clauses (matched), worst (pattern of the heaviest clause, null if none); one row for each row."""
+    """doc_id, score, n_clauses (matched), worst (the heaviest word with its marks, null if none); one row for each row."""
 
     def make():
         scorer = model.scorer()
 
         def f(c):
             made = [scorer(t) for t in c["text"]]
-            return {"doc_id": c["doc_id"], "score": [s for s, _ in made], "n_clauses": [len(x) for _, x in made], "worst": [max(x, key=lambda y: model.patterns[y[0]] * y[1])[0] if x else None for _, x in made]}
+            return {"doc_id": c["doc_id"], "score": [s for s, _ in made], "n_clauses": [len(x) for _, x in made], "worst": [_name(max(x, key=lambda y: y[1])[0]) if x else None for _, x in made]}
         return f
 
     return map_arrow(documents.select("doc_id", "text"), make, "doc_id long, score double, n_clauses long, worst string")
