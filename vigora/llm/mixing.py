@@ -1,20 +1,25 @@
 """Mixing sources to target weights by temperature, in DataFrame operations only.
 
 A source with the share p of all tokens gets the weight p^a / sum(p^a). The
-exponent a is bisected between 0 (all sources alike) and 1 (as they are), or
-above 1 for an entropy under the sources' own, until the entropy of the weights
-meets a target, or no source is repeated more than a limit. Each step evaluates
-a row of exponents in one small aggregate.
+exponent a is bisected: from 0 (all sources alike) to 1 (as they are) it is the
+least one whose weights hold the limit on repeats and have an entropy of at most
+the target; for an entropy under the sources' own it goes on above 1. Both limits
+hold, or an error says which cannot: a budget needs as many repeats as it has
+times the tokens there are, and over 1 the largest source is repeated. The limit
+is on a source's tokens; a single row is repeated at most the next whole number of
+times. Each step evaluates a row of exponents in one small aggregate.
 
 The budget is then realised by blocks: a document's hash puts it in one of
-``BLOCKS`` blocks of its source. A source gets whole passes, and in the last
-pass its blocks in a permuted order until its part of the budget is used; in
-the block where it ends, documents by their hashes. So only a row for each
+``2 ** BLOCKS_LOG2`` blocks of its source. A source gets whole passes, and in the
+last pass its blocks in a permuted order until its part of the budget is used; the
+block where it ends is cut into as many blocks again, by more bits of the hash, and
+in the last of these documents are taken by their hashes. So only a row for each
 source and block is ever summed up, and no source is sorted or gathered.
 
 Defined results: a null source is a source of its own; null or empty texts have
 0 tokens and follow their block; rows with the same id share their fate; empty
-input gives no rows; a source without tokens has weight 0 and is left out.
+input gives no rows; very long texts count whole; a source without tokens has
+weight 0 and is left out; other columns, whatever their names, are kept in _row.
 """
 
 from __future__ import annotations
@@ -58,25 +63,33 @@ def _measures(sources: DataFrame, exponents: list[float], top: float) -> list[tu
 def exponent(sources: DataFrame, budget: float, target_entropy: float | None, max_repeats: float | None) -> tuple[float, float, float]:
     """(exponent, log of the weights' normaliser, largest log count); sources: lt, the log of its tokens.
 
-    The least exponent whose weights hold the limit on repeats, or whose
-    entropy is at most the target; the larger of the two if both are given.
+    The least exponent whose weights hold the limit on repeats and have an
+    entropy of at most the target; an error if there is none.
     """
     top = sources.agg(F.max("lt")).first()[0]
-    flat, own = _measures(sources, [0.0, 1.0], top)
-    sharpen = target_entropy is not None and own[0] > target_entropy
 
-    def met(entropy: float, repeats: float) -> bool:
-        return (sharpen or max_repeats is None or repeats * budget <= max_repeats) and (target_entropy is None or entropy <= target_entropy)
-
-    low, high = (1.0, SHARPEST) if sharpen else (0.0, 1.0)
-    if met(*flat):
-        high = 0.0
-    else:
+    def least(met, low: float, high: float) -> float:
+        """The least exponent from which ``met`` holds; it does at ``high``."""
         for _ in range(PASSES):
             grid = [low + (high - low) * (k + 1) / (POINTS + 1) for k in range(POINTS)]
             good = [k for k, m in enumerate(_measures(sources, grid, top)) if met(*m)]
             k = good[0] if good else POINTS
             low, high = (grid[k - 1] if k else low), (grid[k] if k < POINTS else high)
+        return high
+
+    flat, own, sharp = _measures(sources, [0.0, 1.0, SHARPEST], top)
+    holds = lambda entropy, repeats: max_repeats is None or repeats * budget <= max_repeats * (1 + 1e-9)
+    under = lambda entropy, repeats: target_entropy is None or entropy <= target_entropy
+    if not holds(*own):
+        raise ValueError(f"a budget of {budget} tokens repeats the sources {own[1] * budget:.4g} times at least; the limit is {max_repeats}")
+    if not under(*sharp):
+        raise ValueError(f"no exponent gives an entropy of {target_entropy}; the least is {sharp[0]:.4g}")
+    high = 0.0 if holds(*flat) else least(holds, 0.0, 1.0)
+    if not under(*flat):
+        high = max(high, least(under, 0.0, 1.0) if under(*own) else least(under, 1.0, SHARPEST))
+    (entropy, repeats), = _measures(sources, [high], top)
+    if not holds(entropy, repeats):
+        raise ValueError(f"an entropy of {target_entropy} repeats the largest source {repeats * budget:.4g} times; the limit is {max_repeats}")
     z = sources.agg(F.sum(F.exp(high * (F.col("lt") - top)))).first()[0]
     return high, math.log(z), top
 
@@ -109,17 +122,28 @@ def mix(documents: DataFrame, budget: int | None = None, target_entropy: float |
     plan = checkpointed(wanted.join(last, "_source", "left"))
     small = n_sources <= MAX_BROADCAST
     hint = F.broadcast if small else (lambda d: d)
-    # Of the documents in the block where a source ends, those with the smallest hashes.
+    # The block where a source ends is cut by the next bits of the hash, in their order, until what is left is used.
+    finer = F.shiftrightunsigned(F.shiftleft("_h", BLOCKS_LOG2), 64 - BLOCKS_LOG2)
+    inside = keyed.join(hint(plan.select("_source", "_block", "left")), ["_source", "_block"]).withColumn("_part", finer)
+    so_far = Window.partitionBy("_source").orderBy("_part").rowsBetween(Window.unboundedPreceding, 0)
+    cut = checkpointed(
+        inside.groupBy("_source", "_block", "left", "_part").agg(F.sum(_tokens()).alias("tokens")).withColumn("cum", F.sum("tokens").over(so_far))
+        .where(F.col("cum") > F.col("left")).groupBy("_source", "_block").agg(F.min(F.struct("_part", (F.col("left") - F.col("cum") + F.col("tokens")).alias("left"))).alias("p"))
+        .select("_source", "_block", F.col("p._part").alias("_part"), F.col("p.left").alias("left"))
+    )
+    # In the last part, 2 ** -20 of a source, documents by their hashes.
     within = Window.partitionBy("_source").orderBy("_h").rowsBetween(Window.unboundedPreceding, 0)
     ends = (
-        keyed.join(hint(plan.select("_source", "_block", "left")), ["_source", "_block"])
+        keyed.withColumn("_part", finer).join(hint(cut), ["_source", "_block", "_part"])
         .groupBy("_source", "_h", "left").agg(F.sum(_tokens()).alias("tokens"))
         .withColumn("cum", F.sum("tokens").over(within)).where(F.col("cum") <= F.col("left"))
         .groupBy("_source").agg(F.max("_h").alias("cut"))
     )
-    decisions = checkpointed(plan.select("_source", "weight", "full", "perm", "_block").withColumnRenamed("_block", "_end").join(ends, "_source", "left"))
+    parts = cut.select("_source", F.col("_part").alias("_last")).join(ends, "_source", "left")
+    decisions = checkpointed(plan.select("_source", "weight", "full", "perm", "_block").withColumnRenamed("_block", "_end").join(parts, "_source", "left"))
     before = F.coalesce(perm < F.col("perm"), F.lit(True))
-    part = F.when(F.col("_block") == F.col("_end"), F.coalesce(F.col("_h") <= F.col("cut"), F.lit(False))).otherwise(before & F.col("perm").isNotNull())
+    final = (finer < F.col("_last")) | ((finer == F.col("_last")) & F.coalesce(F.col("_h") <= F.col("cut"), F.lit(False)))
+    part = F.when(F.col("_block") == F.col("_end"), F.coalesce(final, F.lit(True))).otherwise(before & F.col("perm").isNotNull())
     n_blocks = max(1, math.ceil(budget / BLOCK_TOKENS))
     return (
         keyed.join(hint(decisions), "_source").withColumn("_copies", (F.col("full") + part.cast("int")).cast("int")).where("_copies > 0")

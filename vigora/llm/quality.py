@@ -10,7 +10,10 @@ text goes if over ``BAD_SHARE`` of its chunks leave the band.
 
 Defined results: null and empty texts have no words, ratio 0, and fail the base
 rules; texts under ``LEAST_BYTES`` are not judged by ratio (the frame alone
-outweighs them); each repeated row is judged for itself.
+outweighs them); very long texts are judged whole, over the longest of ``BANDS``
+by its limits; a ratio just at a limit is within it; each repeated row or id is
+judged for itself; an empty table gives no rows; other columns, whatever their
+names, are kept by ``keep_good`` alone.
 """
 
 from __future__ import annotations
