@@ -7,11 +7,20 @@ classes, digits dropped - is the page's vote. Spark sums the votes by host, and
 a second pass extracts the blocks inside the elements with the host's winning
 path; a page without such an element uses its own choice.
 
-Defined results: null or empty html has an empty text; pages without a host
-vote together under ''; a tie goes to the path with the smaller text; repeated
-rows each vote and are each extracted; broken markup is read as browsers do
-where that matters here (open paragraphs end at the next block, text in an
-unfinished tag or comment is lost).
+Boilerplate is known by tags, roles and words in class names and ids. A name
+made of such words alone ("related-posts") marks an element everywhere, one that
+only has such a word ("related-work") not inside an article. What a name marks is
+taken back where the page would lose its text by it: if the element has a name of
+the second kind or holds an article (readers' comments aside), and over twice the text of the rest; and if
+the rest has no text at all.
+
+Defined results: null or empty html has an empty text; very long pages are read
+whole, in time linear in their length; pages without a host vote together under
+''; a tie goes to the path with the smaller text; repeated rows and ids each vote
+and are each extracted; an empty table gives no rows; other columns, whatever
+their names, are left out; broken markup is read as browsers do where that
+matters here (open paragraphs end at the next block, text in an unfinished tag or
+comment is lost).
 """
 
 from __future__ import annotations
@@ -37,6 +46,10 @@ SKIP_WORDS = set("ad ads adsbygoogle advert adverts advertisement advertising ad
 SKIP_ROLES = set("navigation banner contentinfo complementary search dialog alert alertdialog form menu menubar toolbar".split())
 #: What an opening tag ends: open elements of these kinds, up to one of the stops.
 ENDS = {"li": ({"li"}, {"ul", "ol", "menu", "dir"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select", "datalist"}), "tbody": ({"tbody", "thead", "tfoot", "tr", "td", "th"}, {"table"}), "tfoot": ({"tbody", "thead", "tfoot", "tr", "td", "th"}, {"table"})}
+#: Those of readers' comments, each of which may be an article by tag.
+READERS = set("comment comments commentlist disqus respond replies".split())
+#: Words that say nothing of an element beside one of SKIP_WORDS.
+PLAIN_WORDS = set("area bar block body box button buttons card container content entry feed form global header icons inline inner item items label left link links list lists main media module outer panel post posts primary right row section site static sticky text title top wide widget wrap wrapper article articles page stories story tags text thread zone unit units slot main bottom site".split())
 CLASS_WORD = re.compile(r"[a-z]+")
 #: Says what stands beside an element, not what it is: "with-sidebar".
 BESIDE = re.compile(r"(?<![a-z])(?:with|has|no|without)[-_][a-z]+")
@@ -47,28 +60,54 @@ MAX_BROADCAST = 50_000
 
 
 class Element:
-    __slots__ = ("tag", "parent", "skip", "story", "path", "weight", "link")
+    """skip: boilerplate by tag or role; marks: the elements from here up that are boilerplate by name."""
 
-    def __init__(self, tag, parent, skip, story, path, link):
-        self.tag, self.parent, self.skip, self.story, self.path, self.weight, self.link = tag, parent, skip, story, path, 0.0, link
+    __slots__ = ("tag", "parent", "skip", "story", "path", "weight", "link", "marks", "mark")
+
+    def __init__(self, tag, parent, skip, story, path, link, mark=None):
+        self.tag, self.parent, self.skip, self.story, self.path, self.weight, self.link, self.mark = tag, parent, skip, story, path, 0.0, link, mark
+        above = parent.marks if parent is not None else ()
+        self.marks = (*above, mark) if mark is not None else above
+
+
+class Mark:
+    """An element that its name marks as boilerplate: whether the name has other words too, the text in it, whether it holds an article."""
+
+    __slots__ = ("weak", "readers", "text", "article")
+
+    def __init__(self, weak, readers=False):
+        self.weak, self.readers, self.text, self.article = weak, readers, 0, False
+
+
+def _marked(names: str, own_id: str, in_story: bool) -> Mark | None:
+    weak = False
+    for name in [*names.split(), *([own_id] if own_id else [])]:
+        words = CLASS_WORD.findall(BESIDE.sub("", name))
+        if not SKIP_WORDS.isdisjoint(words):
+            if all(w in SKIP_WORDS or w in PLAIN_WORDS for w in words):
+                return Mark(False, not READERS.isdisjoint(words))
+            weak = not in_story
+        elif not in_story and "header" in words:
+            return Mark(len(words) > 1)
+    return Mark(True) if weak else None
 
 
 def _open(tag: str, attributes: str, parent: Element) -> Element:
-    skip, story = parent.skip, parent.story or tag in ("article", "main")
+    skip, story, mark = parent.skip, parent.story or tag in ("article", "main"), None
     label = tag
     if attributes and not attributes.isspace() and tag in BLOCK:
         found = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in ATTRIBUTE.finditer(attributes)}
         names = found.get("class", "").lower()
-        words = CLASS_WORD.findall(BESIDE.sub("", names + " " + found.get("id", "").lower()))
         if names:
             label += "." + ".".join(sorted(set(re.sub(r"\d+", "", names).split())))
         role = found.get("role", "").lower()
         story = story or role in ("main", "article") or found.get("itemprop") == "articleBody"
         if tag not in ("html", "body", "article", "main"):
-            skip = skip or not SKIP_WORDS.isdisjoint(words) or role in SKIP_ROLES or not parent.story and "header" in words
+            skip = skip or role in SKIP_ROLES
+            mark = _marked(names, found.get("id", "").lower(), parent.story)
         skip = skip or "hidden" in found or "display:none" in found.get("style", "").replace(" ", "").lower() or found.get("aria-hidden") == "true"
     skip = skip or tag in SKIP_TAGS or tag == "header" and not parent.story
-    return Element(tag, parent, skip, story, f"{parent.path}>{label}" if tag in CONTAINER or tag == "html" else parent.path, parent.link or tag == "a")
+    return Element(tag, parent, skip, story, f"{parent.path}>{label}" if tag in CONTAINER or tag == "html" else parent.path, parent.link or tag == "a", mark)
 
 
 def blocks(html: str) -> list[tuple[Element, str]]:
@@ -83,11 +122,9 @@ def blocks(html: str) -> list[tuple[Element, str]]:
                 holder = node
                 while holder.tag not in CONTAINER and holder.parent is not None:
                     holder = holder.parent
-                out.append((holder, made))
-                weight = max(0.0, len(made) - 1.5 * linked)
-                while holder is not None:
-                    holder.weight += weight
-                    holder = holder.parent
+                out.append((holder, made, max(0.0, len(made) - 1.5 * linked), node.marks))
+                for mark in node.marks:
+                    mark.text += len(made)
             text.clear()
         linked = 0
 
@@ -155,8 +192,27 @@ def blocks(html: str) -> list[tuple[Element, str]]:
         if attributes.endswith("/") and tag in ("svg", "math"):
             continue
         node = _open(tag, attributes, node)
+        if node.marks and tag in ("article", "main") and not node.skip and node.mark is None:
+            for mark in node.marks:
+                mark.article = not mark.readers
     flush()
-    return out
+    return _kept(out)
+
+
+def _kept(found) -> list[tuple[Element, str]]:
+    """The blocks outside of elements that are boilerplate by name, those that are taken back left aside; weights are added up."""
+    rest = sum(len(text) for _, text, _, marks in found if not marks)
+    back = {id(m) for _, _, _, marks in found for m in marks if (m.weak or m.article) and m.text > 2 * rest}
+    kept = [x for x in found if all(id(m) in back for m in x[3])]
+    if not kept and found:
+        # Nothing else: the outermost elements that have text, with what is boilerplate inside of them left out, if that leaves any.
+        back |= {id(x[3][0]) for x in found}
+        kept = [x for x in found if all(id(m) in back for m in x[3])] or found
+    for holder, _, weight, _ in kept:
+        while holder is not None:
+            holder.weight += weight
+            holder = holder.parent
+    return [(holder, text) for holder, text, _, _ in kept]
 
 
 def _named(node, tag):
