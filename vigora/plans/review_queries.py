@@ -14,8 +14,8 @@ def joined(c):
     return F.array_join(F.transform(c, lambda x: x.cast("string")), ",")
 
 
-@query("open_reconciliations", """SELECT o_orderkey, o_custkey FROM orders WHERE o_orderdate BETWEEN DATE '1995-01-01' AND DATE '1996-12-31' AND o_orderkey % 4 IN (0, 1, 2) AND o_custkey IN (SELECT c_custkey FROM customer WHERE c_custkey % 2 = 0)""")
-def open_reconciliations(spark, sf_dir):
+@query("reconciliations_open", """SELECT o_orderkey, o_custkey FROM orders WHERE o_orderdate BETWEEN DATE '1995-01-01' AND DATE '1996-12-31' AND o_orderkey % 4 IN (0, 1, 2) AND o_custkey IN (SELECT c_custkey FROM customer WHERE c_custkey % 2 = 0)""")
+def reconciliations_open(spark, sf_dir):
     k = F.col("o_orderkey") % 4
     status = F.when(k == 0, "missing_reconstruction").when(k == 1, "true_substantive_mismatch").when(k == 2, "checkpoint_source_incomplete").otherwise("exact")
     outcomes = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_custkey").alias("component_id"), F.col("o_orderdate").cast("date").alias("checkpoint_date"), status.alias("status"))
