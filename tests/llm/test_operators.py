@@ -3,15 +3,18 @@
 from __future__ import annotations
 
 import collections
+import itertools
 import math
 import random
+import re
 import zlib
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from vigora.llm import html, lm, mixing, neardup, neighbours, pieces, quality, quotes, tokens, toxicity
-from vigora.llm.common import table
+from vigora.llm.common import crc_mod, table
 from vigora.llm.components import components
 
 LONG = "word and another wörd " * 4000
@@ -90,7 +93,14 @@ def test_pieces(spark, odd, none, documents):
     for r in documents.join(pieces.encode_all(documents, path), "doc_id").limit(60).collect():
         best = lattice.encode(r.text, pieces.N_BEST)
         assert lattice.decode(r.ids) == r.text and r.round_trip and r.n_pieces == len(r.ids)
-        assert r.n_best == pytest.approx([s for s, _ in best]) and r.ids == best[0][1]
+        assert [x.score for x in r.n_best] == pytest.approx([s for s, _ in best]) and r.ids == best[0][1] and not r.n_best[0].swaps
+        words = lattice.cut(r.text)
+        for x, (_, own) in zip(r.n_best, best):
+            swaps = dict(x.swaps)
+            made = [i for k, w in enumerate(words) for i in (swaps[k] if k in swaps else np.frombuffer(lattice.known[w][0], np.int32).tolist())]
+            assert lattice.decode(made) == r.text and len(made) == len(own)
+    marked = pieces.encode_all(docs(spark, [(1, "a▁b", "s"), (2, " a  b ", "s")]), path).collect()
+    assert {r.doc_id: r.round_trip for r in marked} == {1: False, 2: True}
     made = pieces.encode_all(odd, path)
     assert ids(made) == ALL and {r.doc_id: r.n_pieces for r in made.collect()}[2] == 0
     assert pieces.encode_all(none, path).count() == 0
@@ -200,6 +210,34 @@ def test_mixing_meets_its_budget_and_limit(spark, odd, none):
     assert mixing.mix(docs(spark, [(1, None, "a"), (2, "", "b")])).count() == 0
 
 
+def test_mixing_holds_both_limits_or_says_so(spark):
+    r = docs(spark, [(k, " ".join(["w"] * (1 + k % 7)), "big" if k % 3 else f"s{k % 5}") for k in range(600)])
+    total = sum(1 + k % 7 for k in range(600))
+    with pytest.raises(ValueError, match="limit is 1.25"):
+        mixing.mix(r, budget=6 * total, max_repeats=1.25)
+    with pytest.raises(ValueError, match="largest source"):
+        mixing.mix(r, target_entropy=0.3, max_repeats=1.0)
+    with pytest.raises(ValueError, match="no exponent"):
+        mixing.mix(r, target_entropy=-1.0, max_repeats=None)
+    both = mixing.mix(r, target_entropy=1.2, max_repeats=1.5).select("weight", "_row.source").distinct().collect()
+    assert -sum(x.weight * math.log(x.weight) for x in both) <= 1.2 + 1e-6
+    have = collections.Counter()
+    for x in r.select("source", "text").collect():
+        have[x.source] += len(x.text.split())
+    assert all(x.weight * total / have[x.source] <= 1.5 + 1e-6 for x in both)
+    six = mixing.mix(r, budget=6 * total, max_repeats=6.5).groupBy("_row.doc_id").count().agg(F.max("count")).first()[0]
+    assert six <= 7
+
+
+def test_mixing_of_ties_and_one_source_is_that_of_brute_force(spark):
+    """Rows of one id and equal tokens; half the budget: about half the tokens, whole rows, each at most once."""
+    rows = [(k // 2, "a b c", "one") for k in range(4000)] + [(9000, None, "one"), (9001, "", "two")]
+    made = mixing.mix(docs(spark, rows), budget=6000).select("_row.doc_id", "tokens", "copy").collect()
+    by = collections.Counter(x.doc_id for x in made)
+    assert set(by.values()) <= {1, 2} and all(n == 2 for d, n in by.items() if d < 9000)
+    assert 6000 - 6 <= sum(x.tokens for x in made) <= 6000
+
+
 def test_quotes_are_linked_and_removed(spark):
     rows = [
         (1, 0, "user", "How do I open the door?\nIt is locked."), (1, 1, "assistant", "> How do I  open the DOOR?\n> It is locked.\nUse the key."),
@@ -227,6 +265,96 @@ def test_quotes_from_elsewhere_though_the_own_conversation_says_it_later(spark):
     assert (made[3].n_linked, made[3].messages[1].reply_conv, made[3].messages[1].reply_turn) == (1, 1, 0)
 
 
+def brute_reply_order(replies):
+    """replies: for each message (from 1) the one it quotes, or None. Depth first: quoting messages in order, then the next message."""
+    n, follows, quoting = len(replies), {}, collections.defaultdict(list)
+    for k, target in enumerate(replies, 1):
+        if target is None:
+            if k > 1:
+                follows[k - 1] = k
+        else:
+            quoting[target].append(k)
+    out = []
+
+    def go(k):
+        out.append(k)
+        for c in quoting[k]:
+            go(c)
+        if k in follows:
+            go(follows[k])
+
+    go(1)
+    assert sorted(out) == list(range(1, n + 1))
+    return out
+
+
+def brute_links(rows):
+    """(conv, turn, role, text) -> (quotes, linked, target): each passage looked for in all messages, the whole first, then its lines, the longest first; in the own conversation before, else in the least other one."""
+    normal = lambda x: re.sub(r"\s+", " ", x.lower()).strip(" ")
+    marks, said, parsed = re.compile(quotes.MARKS), collections.defaultdict(dict), {}
+    for row in sorted(set(rows), key=str):
+        lines = [((m := marks.match(x)) and m[0].count(">") or 0, marks.sub("", x, count=1) if not (m := marks.match(x)) else x[m.end() :].removeprefix(" ")) for x in (row[3] or "").split("\n")]
+        quoted = any(level for level, _ in lines)
+        own = "\n".join(x for level, x in lines if not level and not re.match(quotes.ATTRIBUTION.replace("(?i)", ""), x, re.I)) if quoted else row[3] or ""
+        own = re.sub(r"\n{3,}", "\n\n", own).strip(" ") if quoted else own
+        for key in {normal(x) for x in [own, *re.split(r"\n\s*\n", own), *own.split("\n")]} - {""}:
+            said[key][row[0]] = min(said[key].get(row[0], row[1]), row[1])
+        passages = [(level, "\n".join(x for _, x in group)) for level, group in ((k, list(g)) for k, g in itertools.groupby(lines, key=lambda x: x[0])) if level] if quoted else []
+        parsed[row] = [(k, level, t) for k, (level, t) in enumerate(passages) if normal(t)]
+    out = {}
+    for (conv, turn, _, _), passages in ((r, p) for r, p in parsed.items()):
+        links = []
+        for k, level, t in passages:
+            keys = [normal(t), *sorted({normal(x) for x in t.split("\n")} - {""}, key=lambda x: (-len(x), x))]
+            here = next(((conv, said[x][conv]) for x in keys if said.get(x, {}).get(conv, turn) < turn), None)
+            there = next((min((c, n) for c, n in said[x].items() if c != conv) for x in keys if set(said.get(x, ())) - {conv}), None)
+            links.append((level, k, here or there))
+        found = [x for x in links if x[2]]
+        out[conv, turn] = (len(links), len(found), min(found)[2] if found else None)
+    return out
+
+
+def test_quotes_of_the_table_are_linked_as_by_brute_force(spark, small):
+    messages = table(spark, small, "conversations").select("conv_id", "turn", "role", "text")
+    rows = [tuple(r) for r in messages.collect()]
+    r = random.Random(4)
+    lines = [x for row in rows for x in (row[3] or "").split("\n") if x.strip() and not x.startswith(">")]
+    for c in range(40):
+        rows += [(10_000 + c, t, "user", "\n".join(f"{'>' * r.randint(1, 2)} {r.choice(lines)}" for _ in range(r.randint(1, 3))) + f"\nown {c} {t}") for t in range(3)]
+    made = {}
+    for x in quotes.conversations(spark.createDataFrame(rows, messages.schema)).collect():
+        assert x.n_messages == len(x.messages)
+        made[x.conv_id] = (x.n_quotes, x.n_linked, {m.turn: (m.reply_conv, m.reply_turn) for m in x.messages})
+    want = brute_links(rows)
+    for conv, (n_quotes, n_linked, replies) in made.items():
+        mine = {t: v for (c, t), v in want.items() if c == conv}
+        assert (n_quotes, n_linked) == (sum(v[0] for v in mine.values()), sum(v[1] for v in mine.values())), conv
+        for t, (_, linked, target) in mine.items():
+            if target:
+                assert replies[t] == target, (conv, t)
+
+
+def test_quotes_give_reply_order(spark):
+    r, rows, want = random.Random(8), [], {}
+    cases = [[None, None, None, 1], [None, 1, 2, 1, 3], [None, 1, 1, 1, 2, 4], [None]] + [[None] + [r.choice([None, r.randint(1, k), k]) for k in range(1, r.randint(2, 25))] for _ in range(25)]
+    for c, replies in enumerate(cases):
+        want[c] = brute_reply_order(replies)
+        for k, target in enumerate(replies, 1):
+            rows.append((c, k, "user", (f"> text {target} of {c} here\n" if target else "") + f"text {k} of {c} here"))
+    made = quotes.conversations(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
+    assert {x.conv_id: [m.turn for m in x.messages] for x in made} == want
+    assert all([m.position for m in x.messages] == list(range(1, len(x.messages) + 1)) for x in made)
+
+
+def test_quotes_with_ties_and_deep_nesting(spark):
+    rows = [(1, 1, "b", "x y z"), (1, 1, "a", "u v w"), (1, 2, "a", "> x y z\nfirst"), (1, None, "a", "none")]
+    deep = [(2, 1, "u", "line 1 deep")] + [(2, k, "u", f"> line {max(1, k - 2)} deep\nline {k} deep") for k in range(2, 40)]
+    made = {x.conv_id: x.messages for x in quotes.conversations(spark.createDataFrame(rows + deep, "conv_id long, turn long, role string, text string")).collect()}
+    # Of one turn, the first message is the one that is answered.
+    assert [(m.turn, m.role) for m in made[1]] == [(None, "a"), (1, "a"), (2, "a"), (1, "b")]
+    assert [m.turn for m in made[2]] == brute_reply_order([None] + [max(1, k - 2) for k in range(2, 40)])
+
+
 def test_long_conversations_come_in_parts_in_order(spark):
     rows = [(7, k, "user", f"message {k}") for k in range(50)]
     made = quotes.conversations(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"), part=8).orderBy("part").collect()
@@ -248,15 +376,54 @@ def test_html_uses_the_host_s_path(spark):
 def test_neighbours_on_odd_vectors(spark):
     rows = [(0, [1.0, 0.0]), (20, [0.0, 2.0]), (3, [1.0, 1.0]), (3, [1.0, 1.0]), (4, [1.0, 1.0]), (5, None), (6, [0.0, 0.0]), (7, [float("nan"), 1.0]), (8, [None, 1.0]), (None, [1.0, 1.0]), (9, [1.0, 2.0, 3.0]), (40, [float("inf"), 1.0]), (60, [])]
     base = neighbours.usable(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), "vec_id", "embedding")
-    made = neighbours.search(base, base.where("id % 20 = 0").dropDuplicates(["id"])).orderBy("query_id", "rank").collect()
+    made = neighbours.search(base, base.where("id % 20 = 0")).orderBy("query_id", "rank").collect()
     assert [(r.query_id, r.rank, r.vec_id, r.score) for r in made] == [(0, 1, 3, 1.0), (0, 2, 4, 1.0), (0, 3, 20, 0.0), (20, 1, 3, 2.0), (20, 2, 4, 2.0), (20, 3, 0, 0.0)]
     empty = neighbours.usable(spark.createDataFrame([], "vec_id long, embedding array<double>"), "vec_id", "embedding")
     assert neighbours.search(empty, empty).count() == 0
 
 
-def test_neighbours_recall_on_the_table(spark, small):
-    import numpy as np
+def test_neighbours_of_repeated_ids_are_as_many_and_distinct(spark):
+    r = random.Random(5)
+    vectors = [(k, [r.gauss(0, 1) for _ in range(16)]) for k in range(400)]
+    again = [(7, [x + 0.01 * k for x in vectors[7][1]]) for k in range(31)] + [(20, [-x for x in vectors[20][1]])]
+    rows = vectors + again + vectors[:50]
+    base = neighbours.usable(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), "vec_id", "embedding")
+    made = neighbours.search(base, base.where("id % 20 = 0")).collect()
+    asked = {d: min(v for e, v in rows if e == d) for d in range(0, 400, 20)}
+    by = collections.defaultdict(list)
+    for x in sorted(made, key=lambda x: (x.query_id, x.rank)):
+        by[x.query_id].append((x.vec_id, x.score))
+    hit = 0
+    for q, own in asked.items():
+        best = {}
+        for e, v in rows:
+            if e != q:
+                s = sum(a * b for a, b in zip(own, v))
+                best[e] = max(best.get(e, s), s)
+        want = sorted(best, key=lambda e: (-best[e], e))[:20]
+        assert len({e for e, _ in by[q]}) == len(by[q]) == 20
+        assert all(s == pytest.approx(best[e]) for e, s in by[q])
+        hit += len(set(want) & {e for e, _ in by[q]})
+    assert hit >= 0.9 * 20 * len(asked)
+
+
+def test_neighbours_in_many_blocks_and_broadcasts(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "BLOCK", 100)
+    monkeypatch.setattr(neighbours, "QUERY_BYTES", 8 * 16 * 10)
+    x = np.random.default_rng(3).standard_normal((1500, 16))
+    base = neighbours.usable(spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "vec_id long, embedding array<double>"), "vec_id", "embedding")
+    made = collections.defaultdict(list)
+    for r in neighbours.search(base, base.where("id % 100 = 0")).orderBy("query_id", "rank").collect():
+        made[r.query_id].append(r.vec_id)
+    hit = 0
+    for q, found in made.items():
+        s = x @ x[q]
+        s[q] = -np.inf
+        hit += len(set(found) & set(np.argsort(-s, kind="stable")[:20].tolist()))
+    assert len(made) == 15 and hit >= 0.9 * 20 * 15
+
 
+def test_neighbours_recall_on_the_table(spark, small):
     rows = table(spark, small, "embeddings").select("vec_id", "embedding").collect()
     x, key = np.array([r.embedding for r in rows], np.float64), np.array([r.vec_id for r in rows])
     base = neighbours.usable(table(spark, small, "embeddings"), "vec_id", "embedding")
@@ -283,6 +450,39 @@ def test_language_model_counts_and_beats_the_base(spark, small, documents):
     assert sum(got[d].score for d in held) > sum(got[d].base_score for d in held)
 
 
+def test_language_model_s_vocabulary_fits_whatever_the_counts(spark):
+    rows = [(f"w{k}", 7) for k in range(400)] + [("often", 5000), ("most", 9000)]
+    counts = spark.createDataFrame(rows, "word string, c long")
+    for most, least in ((1000, 402), (100, 60), (2, 2), (1, 1)):
+        got = {r.word for r in counts.where(lm.frequent(counts, most)).collect()}
+        assert least <= len(got) <= max(most * 1.4, 2) and "most" in got
+        assert most < 2 or "often" in got
+
+
+def test_language_model_s_score_is_that_of_its_model(spark, small, documents, monkeypatch):
+    """Scores of the query against the model's own tables, looked up one token at a time; with most words rare."""
+    monkeypatch.setattr(lm, "VOCABULARY", 300)
+    training = documents.where(crc_mod("doc_id", 10) != 0)
+    counts = lm.checkpointed(lm.count_words(training))
+    model = lm.fit(training, counts, 300)
+    assert len(model.vocabulary) <= 400
+    got = {r.doc_id: r.score for r in lm.score(documents, model, counts, F.lit(True)).collect()}
+    c = {r.word: r.c for r in counts.collect()}
+    own, seq, weights = {w: k for k, w in enumerate(model.vocabulary)}, lm.Sequences(model.vocabulary), lm.Weights(model.tree, model.weights, model.cells)
+    whole = np.cumsum(model.cells, axis=1)
+    for r in documents.where("length(text) < 1500").limit(25).collect():
+        ids, at, _ = seq.batch([r.text])
+        want = 0.0
+        for k, w in zip(at, [*lm.words(r.text), None]):
+            one = np.array([k])
+            leaf = seq.leaves(ids[one])
+            want += weights.score(lm.histories(ids, one, seq, model.tree), leaf, whole, model.smooth())[0] / math.log(10)
+            if w is not None and w.decode() not in own:
+                x = zlib.crc32(w) % lm.RARE_LEAVES
+                want += math.log10(c.get(w.decode(), 0) + 0.1) - math.log10(model.rare[x] + 0.1 * (model.rare_words[x] + 1))
+        assert got[r.doc_id] == pytest.approx(want, rel=1e-4)
+
+
 def test_language_model_on_odd_tables(spark, odd, none, tmp_path):
     for name, df, n in (("odd", odd, len(ODD)), ("none", none, 0)):
         df.write.parquet(f"{tmp_path}/{name}/documents.parquet")
