@@ -124,9 +124,9 @@ def structure_blocks(spark, sf_dir):
     return parsing.structure(table(spark, sf_dir, "documents"), "doc_id", "text")
 
 
-@query("rate_table_parse")
+@query("rate_table_parse", "SELECT p_brand || '/' || CAST(p_partkey // 2000 AS VARCHAR) AS notification, 'I' AS schedule_id, CAST(2.5 AS DOUBLE) AS rate, (row_number() OVER (PARTITION BY p_brand, p_partkey // 2000 ORDER BY p_partkey) - 1)::INTEGER AS pos, CAST(p_partkey + 1 AS VARCHAR) AS sno, lpad(CAST(p_size AS VARCHAR), 4, '0') AS tariff_item, p_name AS description, false AS is_omitted FROM part")
 def rate_table_parse(spark, sf_dir):
     part = table(spark, sf_dir, "part")
     line = F.concat((F.col("p_partkey") + 1).cast("string"), F.lit(". "), F.lpad(F.col("p_size").cast("string"), 4, "0"), F.lit(" "), "p_name")
-    lines = part.groupBy(F.col("p_brand").alias("notification")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("p_partkey", line.alias("l")))), lambda x: x.l), "\n").alias("text"))
+    lines = part.groupBy(F.concat_ws("/", "p_brand", F.floor(F.col("p_partkey") / 2000)).alias("notification")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("p_partkey", line.alias("l")))), lambda x: x.l), "\n").alias("text"))
     return parsing.rate_tables(lines.withColumn("text", F.concat(F.lit("Schedule I - 2.5%\n"), "text")))
