@@ -229,7 +229,7 @@ def window_session(spark, sf_dir):
     return streams.sessions(table(spark, sf_dir, "events"), "ts", "6 hours", "user_id").select("user_id", F.col("session_start").cast("timestamp_ntz").alias("session_start"), F.col("session_end").cast("timestamp_ntz").alias("session_end"), "n")
 
 
-@query("text_replay", """WITH d AS (SELECT *, source || '/' || doc_id AS work_id, '/' || source || '/rule/' || doc_id AS component_id, doc_id % 3 = 0 AS hit, doc_id % 2 = 0 AS om, substr(text, 1, 40) AS old FROM documents),
+@query("text_replay", """WITH d AS (SELECT *, source || '/' || CAST(doc_id // 500 AS VARCHAR) AS work_id, '/' || source || '/rule/' || doc_id AS component_id, doc_id % 3 = 0 AS hit, doc_id % 2 = 0 AS om, substr(text, 1, 40) AS old FROM documents),
  n AS (SELECT *, CASE WHEN om OR old = '' THEN 1 ELSE (length(text) - length(replace(text, old, ''))) // length(old) END AS k FROM d)
  SELECT work_id, component_id, text, DATE '2017-07-01' AS valid_from, CASE WHEN hit AND k = 1 THEN DATE '2020-01-01' END AS valid_to, CAST(NULL AS VARCHAR) AS created_by_event_id, '' AS event_chain, 'version' AS outcome, CAST(NULL AS VARCHAR) AS reason FROM n
  UNION ALL SELECT work_id, component_id, CASE WHEN om THEN '[Omitted]' WHEN old = '' THEN 'In its stead' ELSE replace(text, old, 'In its stead') END, DATE '2020-01-01', NULL, 'e' || doc_id, 'e' || doc_id, 'version', NULL FROM n WHERE hit AND k = 1
@@ -237,8 +237,8 @@ def window_session(spark, sf_dir):
 def text_replay(spark, sf_dir):
     from vigora.operators import replay
 
-    # Each document is a work of its own, so that no group grows with the table.
-    docs = table(spark, sf_dir, "documents").withColumn("work", F.concat_ws("/", "source", "doc_id"))
+    # A work has a few dozen documents, however many there are, so that no group grows with the table.
+    docs = table(spark, sf_dir, "documents").withColumn("work", F.concat_ws("/", "source", F.floor(F.col("doc_id") / 500)))
     base = docs.select(F.col("work").alias("work_id"), F.concat(F.lit("/"), "source", F.lit("/rule/"), F.col("doc_id").cast("string")).alias("component_id"), "text", F.to_date(F.lit("2017-07-01")).alias("base_date"))
     null = F.lit(None)
     events = docs.where("doc_id % 3 = 0").select(
