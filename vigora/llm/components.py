@@ -2,22 +2,32 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vigora.llm.common import checkpointed
 
 
+def follows(column: str) -> Column:
+    """A second key of a sum, which follows from the first, so that the groups stay the same.
+
+    A sum by one key is dealt as a join by that key, so Spark would join it in
+    place, with all rows of a hot key in one task. Dealt by two keys, the sum is
+    dealt anew for the join, and adaptive execution splits the hot key.
+    """
+    return F.shiftright(column, 62).alias("_follows")
+
+
 def _large_star(edges: DataFrame) -> DataFrame:
     """Each larger neighbour of a node is tied to the least of the node and its neighbours."""
     both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
+    least = both.groupBy("a", follows("a")).agg(F.least(F.min("b"), F.col("a")).alias("m")).drop("_follows")
     return both.where("b > a").join(least, "a").select(F.col("m").alias("a"), "b").where("a <> b").distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Each node's smaller neighbours, and the node, are tied to the least of them; edges go from small a to large b."""
-    least = edges.groupBy("b").agg(F.min("a").alias("m"))
+    least = edges.groupBy("b", follows("b")).agg(F.min("a").alias("m")).drop("_follows")
     joined = edges.join(least, "b")
     return joined.select(F.col("m").alias("a"), F.col("a").alias("b")).union(joined.select(F.col("m").alias("a"), "b")).where("a <> b").distinct()
 

@@ -45,7 +45,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vigora.llm.common import checkpointed, map_arrow, table
-from vigora.llm.components import components
+from vigora.llm.components import components, follows
 
 HASHES, ORDERS, DEPTH, LEAST, REGION, WINDOW, SEED = 64, 32, 12, 5, 64, 2, 8
 #: Values of two signatures that agree, for a pair to be near the threshold: 51 on average at 0.8, with a deviation of 3.2.
@@ -348,7 +348,7 @@ def apart(regions: DataFrame, linked: DataFrame) -> DataFrame:
 
 def to_hubs(runs: DataFrame, links: DataFrame, linked: DataFrame) -> DataFrame:
     """a, b: rows of large runs and the class of their run that has the most links, where they are in two components."""
-    degrees = links.select(F.explode(F.array("a", "b")).alias("rep")).groupBy("rep").agg(F.count("*").alias("links"))
+    degrees = links.select(F.explode(F.array("a", "b")).alias("rep")).groupBy("rep", follows("rep")).agg(F.count("*").alias("links")).drop("_follows")
     rows = checkpointed(_placed(runs.join(degrees, "rep", "left"), linked))
     hubs = rows.groupBy("ord", "key").agg(F.max(F.struct(F.coalesce("links", F.lit(0)).alias("links"), (-F.col("rep")).alias("last"), F.col("n"), F.col("component"))).alias("hub"))
     met = rows.join(hubs, ["ord", "key"]).where((F.col("component") != F.col("hub.component")) & (100 * F.least("n", "hub.n") >= PERCENT * F.greatest("n", "hub.n")))
@@ -365,11 +365,11 @@ def confirm(documents: DataFrame, pairs: DataFrame, size: int) -> DataFrame:
     ``MEMBERS`` sets that its partners are dealt to, so that the text of which
     very many are copies is compared in many tasks.
     """
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("end")).groupBy("end").agg(F.count("*").alias("pairs"))
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("end")).groupBy("end", follows("end")).agg(F.count("*").alias("pairs"))
     sides = [ends.select(F.col("end").alias(x), F.col("pairs").alias(f"{x}_pairs")) for x in ("a", "b")]
     swap = F.col("b_pairs") > F.col("a_pairs")
     pairs = pairs.join(sides[0], "a").join(sides[1], "b").select(F.when(swap, F.col("b")).otherwise(F.col("a")).alias("a"), F.when(swap, F.col("a")).otherwise(F.col("b")).alias("b"))
-    degrees = pairs.groupBy("a").agg(F.ceil(F.count("*") / MEMBERS).cast("int").alias("groups"))
+    degrees = pairs.groupBy("a", follows("a")).agg(F.ceil(F.count("*") / MEMBERS).cast("int").alias("groups")).drop("_follows")
     members = pairs.join(degrees, "a").select(F.col("b").alias("doc_id"), F.lit(0).alias("bucket"), F.col("a").alias("center"), F.pmod(F.xxhash64("b"), F.col("groups")).cast("int").alias("grp"))
     owners = degrees.select(F.col("a").alias("doc_id"), F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("grp"), F.col("a").alias("center")).withColumn("bucket", (F.col("grp") / 64).cast("int"))
     # As a member a class has no more centers than pairs, each with as many pairs or more; as a center 64 groups in each bucket.
