@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import re
 import tempfile
 from collections.abc import Callable, Iterable, Iterator
@@ -36,6 +37,12 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def release(spark: SparkSession) -> None:
+    """Lets Spark delete the shuffle files of steps that were checkpointed and are no longer referred to; else they stay until the driver happens to collect its garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 class Remembered(dict):
     """What ``ask`` says of short strings, kept in two generations of at most ``most`` each: what was asked for lately stays."""
 

@@ -44,7 +44,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vigora.llm.common import checkpointed, map_arrow, table
+from vigora.llm.common import checkpointed, map_arrow, release, table
 from vigora.llm.components import components, follows
 
 HASHES, ORDERS, DEPTH, LEAST, REGION, WINDOW, SEED = 64, 32, 12, 5, 64, 2, 8
@@ -413,9 +413,13 @@ def find(documents: DataFrame, size: int = 2) -> DataFrame:
     described = checkpointed(describe(documents, size))
     classes = checkpointed(described.where("fp IS NOT NULL AND doc_id IS NOT NULL").groupBy("fp").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("sig").alias("sig")))
     pairs, regions, runs = candidates(classes)
-    links = checkpointed(confirm(documents, checkpointed(pairs), size))
+    pairs = checkpointed(pairs)
+    release(documents.sparkSession)
+    links = checkpointed(confirm(documents, pairs, size))
+    release(documents.sparkSession)
     linked = components(links)
     further = checkpointed(apart(regions, linked).union(to_hubs(runs, links, linked)).distinct())
+    release(documents.sparkSession)
     if not further.isEmpty():
         linked = components(links.union(confirm(documents, further, size)))
     classed = classes.select("fp", "rep").join(linked, F.col("rep") == F.col("node"), "left").select("fp", F.coalesce("component", "rep").alias("component"))
