@@ -45,7 +45,7 @@ from vigora.llm.tries import Trie
 MARK = "▁"
 UNKNOWN = 10.0
 #: Bounds on words remembered by a worker (twice as many at most), on their length, and on n-best lists.
-MAX_WORDS, MAX_WORD, MAX_LISTS = 400_000, 64, 50_000
+MAX_WORDS, MAX_WORD, MAX_LISTS = 120_000, 64, 20_000
 N_BEST = 4
 
 
