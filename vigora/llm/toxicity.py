@@ -206,9 +206,11 @@ def fit(documents: DataFrame, labels: DataFrame, limit: int = MAX_LABELLED) -> M
         return f
 
     counts = map_arrow(marked.select("text", "toxic"), count, "feature string, pos long, neg long", rows=4096)
+    # What fewer toxic documents have than a feature must cover can never be taken, so it is left behind.
+    least = max(2, math.ceil(0.004 * marked.where("toxic > 0").count()))
     candidates = (
         counts.groupBy("feature").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
-        .where("pos >= 3 AND pos >= 20 * neg").collect()
+        .where((F.col("pos") >= max(3, least)) & F.expr("pos >= 20 * neg")).collect()
     )  # of a sample of fixed size, so bounded
     known = {r.feature: (r.pos, r.neg) for r in candidates}
     model = Model()
@@ -220,7 +222,6 @@ def fit(documents: DataFrame, labels: DataFrame, limit: int = MAX_LABELLED) -> M
         return f
 
     toxic = [set(r.found) for r in map_arrow(marked.where("toxic > 0").select("text"), incidence, "found array<string>").collect()]
-    least = max(2, math.ceil(0.004 * len(toxic)))
     left = dict(enumerate(toxic))
     while left:
         gains = Counter(x for fs in left.values() for x in fs)
