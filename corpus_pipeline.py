@@ -2,6 +2,13 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the
 last return the columns of documents.
+
+Defined results, as the operators' own: null and empty texts are not toxic, but
+fail the quality stage; very long texts are handled whole; of rows with one id,
+or alike in five-word shingles, the near-duplicate stage keeps one, that of the
+least id; rows without an id have no copies and stay; a null source is mixed as
+a source of its own; columns beside doc_id, text and source are carried along;
+an empty table gives no rows.
 """
 
 from __future__ import annotations
