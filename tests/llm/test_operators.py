@@ -182,6 +182,17 @@ def test_components_of_chains_and_stars(spark):
     assert {made[k] for k in range(1, 101)} == {0} and {made[k] for k in range(501, 560)} == {500} and made[901] == 900
 
 
+def test_components_need_no_round_to_see_that_stars_are_settled(spark, monkeypatch):
+    from vigora.llm import components as module
+
+    rounds, plain = [], module._large_star
+    monkeypatch.setattr(module, "_large_star", lambda edges: rounds.append(1) or plain(edges))
+    stars = spark.createDataFrame([(1, k) for k in range(2, 50)] + [(60, 61)], "a long, b long")
+    assert {(r.node, r.component) for r in components(stars).collect()} == {(k, 1) for k in range(2, 50)} | {(61, 60)} and not rounds
+    joined = stars.union(spark.createDataFrame([(61, 30)], "a long, b long"))
+    assert {r.component for r in components(joined).collect()} == {1} and rounds
+
+
 def test_mixing_meets_its_budget_and_limit(spark, odd, none):
     r = [(k, " ".join(["w"] * (1 + k % 7)), "big" if k % 3 else f"s{k % 5}") for k in range(3000)]
     made = mixing.mix(docs(spark, r), max_repeats=1.5)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vigora.llm.common import checkpointed
+from vigora.llm.common import checkpointed, release
 
 
 def follows(column: str) -> Column:
@@ -32,21 +32,26 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return joined.select(F.col("m").alias("a"), F.col("a").alias("b")).union(joined.select(F.col("m").alias("a"), "b")).where("a <> b").distinct()
 
 
+def _unsettled(edges: DataFrame) -> DataFrame:
+    """Nodes that keep ``edges`` (a, b) from being stars: larger ends that have a second edge."""
+    ends = edges.select(F.col("a").alias("node"), F.lit(0).alias("larger")).union(edges.select(F.col("b").alias("node"), F.lit(1).alias("larger")))
+    return ends.groupBy("node").agg(F.sum("larger").alias("larger"), F.count("*").alias("edges")).where("larger > 0 AND edges > 1")
+
+
 def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
     """node, component (the least node that is reached) for every node of ``edges`` (a, b; longs).
 
-    Ends when a round changes nothing; the rounds grow with the logarithm of
-    the largest component. All groups are sums or joins against one row a
-    node, so a node with very many edges is split like any skewed join.
+    Ends when the edges are stars; the rounds grow with the logarithm of the
+    largest component. All groups are sums or joins against one row a node, so a
+    node with very many edges is split like any skewed join. After each round the
+    driver lets go of the round's plans and shuffle files.
     """
     now = checkpointed(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct())
-    mark = None
-    for _ in range(rounds):
-        now = checkpointed(_small_star(_large_star(now)))
-        state = now.agg(F.count("*"), F.sum("a"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if state == mark:
+    for k in range(rounds + 1):
+        if not _unsettled(now).count():
             break
-        mark = state
-    else:
-        raise RuntimeError("components did not settle")
+        if k == rounds:
+            raise RuntimeError("components did not settle")
+        now = checkpointed(_small_star(_large_star(now)))
+        release(now.sparkSession)
     return now.select(F.col("b").alias("node"), F.col("a").alias("component"))
