@@ -274,6 +274,32 @@ def test_shingles_and_regions():
     assert len(near) < 4 * len(keys)
 
 
+def test_common_sizes_are_those_of_all_pairs():
+    rng = np.random.default_rng(3)
+    sets = [np.unique(rng.integers(0, 300, size=k).astype(np.uint64)) for k in (0, 1, 5, 200, 200, 150, 40)] + [np.array([2**64 - 1, 7], np.uint64)]
+    for wide in (16, 1 << 16):
+        both = neardup.common_sizes(sets, wide)
+        assert both.tolist() == [[len(np.intersect1d(a, b)) for b in sets] for a in sets]
+    assert neardup.common_sizes([np.arange(3, dtype=np.uint64), np.arange(5, 9, dtype=np.uint64)]).tolist() == [[3, 0], [0, 4]]
+
+
+def test_large_regions_give_a_pair_less_than_rows():
+    """64 rows that differ in ever more values of their signatures: a tree of the likest, the other near pairs only as bits."""
+    rows = [(b"", k, 100, bytes([255] * (64 - k) + [k] * k)) for k in range(64)]
+    pairs, near = neardup.near_rows(rows)
+    assert len(pairs) == 63 and {b for _, b in pairs} == set(range(1, 64)) and {a for a, _ in pairs} == {0}
+    bits = {k: set(np.flatnonzero(np.unpackbits(np.frombuffer(b, np.uint8))).tolist()) for k, _, b in near}
+    for a in range(64):
+        for b in range(a + 1, 64):
+            assert (b in bits.get(a, ())) == (64 - b >= neardup.NEAR and a > 0), (a, b)
+    pairs = []
+    region = neardup._Region(lambda a, b: pairs.append((a[1], b[1])), lambda rows: neardup.near_rows(rows)[0])
+    for key, rep, n, sig in [(bytes([1, 1] * 12), k, 100, bytes(r[3])) for k, r in enumerate(rows)]:
+        region.add(key, rep, n, sig)
+    region.close()
+    assert len({frozenset(p) for p in pairs if len(set(p)) == 2}) < 2 * len(rows)
+
+
 def test_neighbours_reach_the_recall_and_break_ties():
     r = np.random.default_rng(5)
     x = r.standard_normal((3000, 32)) * r.uniform(0.5, 2, (3000, 1))

@@ -9,12 +9,14 @@ larger than ``REGION``, its depth grows until it is not, so that regions of
 common prefixes hold only classes that are ever more alike. Candidates are
 of three kinds, and none rests on where an id stands among the others:
 
-- in a region, classes are chained in the order of the region and in that of
-  their ids, which makes different orders name the same pairs, and are paired
-  with the least id of the region and of the run of classes so far that share
-  ``LEAST`` values;
-- all classes of a region are compared on whole signatures; pairs that agree in
-  ``NEAR`` values or more and are in two components yet are candidates;
+- in a region, the classes are the nodes of a tree of pairs that agree in the
+  most values of the whole signatures, so there is a pair less than classes;
+  each class is also paired with the least id of the run of classes so far that
+  share ``LEAST`` values, and all classes of a region of up to 4 are paired;
+- of all other pairs of a region, those that agree in ``NEAR`` values or more
+  and are in two components yet are candidates; they are compared where the sets
+  of their region meet, so that each class is sent there once, and not for each
+  of its pairs;
 - in runs that are larger than a region, classes that are in another component
   yet are paired with the class of the run that has the most links: the text
   that very many copies were made from is alike to all of them.
@@ -35,6 +37,7 @@ a null id is kept and has no component.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import itertools
 
@@ -51,7 +54,6 @@ HASHES, ORDERS, DEPTH, LEAST, REGION, WINDOW, SEED = 64, 32, 12, 5, 64, 2, 8
 #: Values of two signatures that agree, for a pair to be near the threshold: 51 on average at 0.8, with a deviation of 3.2.
 NEAR = 40
 PERCENT, MEMBERS = 80, 256
-MAX_WORDS = 300_000
 _U = np.uint64
 
 
@@ -69,25 +71,13 @@ class Shingler:
     def __init__(self, size: int):
         import xxhash
 
-        self.size, self.digest, self.known = size, xxhash.xxh3_64_intdigest, {}
+        self.size, self.digest = size, xxhash.xxh3_64_intdigest
         self.factors = np.random.default_rng(SEED).integers(1, 2**63, size=size, dtype=np.uint64) * _U(2) + _U(1)
 
-    def _hash(self, words: list[bytes]) -> np.ndarray:
-        known, digest = self.known, self.digest
-        if len(known) > MAX_WORDS:
-            known.clear()
-        out = []
-        for w in words:
-            h = known.get(w)
-            if h is None:
-                h = known[w] = digest(w)
-            out.append(h)
-        return np.array(out, dtype=np.uint64)
-
     def sets(self, texts: list[str | None]) -> list[np.ndarray]:
         split = [(t or "").encode("utf-8", "surrogatepass").lower().split() for t in texts]
         counts = [len(w) for w in split]
-        words = self._hash([w for ws in split for w in ws])
+        words = np.fromiter(map(self.digest, itertools.chain.from_iterable(split)), np.uint64, sum(counts))
         n, s = len(words), self.size
         grams = np.zeros(max(0, n - s + 1), np.uint64)
         with np.errstate(over="ignore"):
@@ -160,7 +150,9 @@ class _Region:
     def chain(self, rows):
         # A chain of WINDOW and the least id are all pairs of fewer rows.
         if self.block and len(rows) > WINDOW + 2:
-            self.block(rows)
+            for a, b in self.block(rows):
+                self.emit(rows[a], rows[b])
+            return
         for gap in range(1, WINDOW + 1):
             for a, b in zip(rows, rows[gap:]):
                 self.emit(a, b)
@@ -238,14 +230,31 @@ class _Region:
         self.first = self.start = None
 
 
-def near_rows(rows) -> list[tuple[int, int, bytes]]:
-    """Position, id and bits of the partners near the threshold, for each row of a region that has some."""
+def near_rows(rows) -> tuple[list[tuple[int, int]], list[tuple[int, int, bytes]]]:
+    """For the rows of a region: the pairs of positions of a tree of the likest; and position, id and bits of the other partners near the threshold, for each row that has some."""
     sigs, n = np.frombuffer(b"".join(r[3] for r in rows), np.uint8).reshape(len(rows), HASHES), np.array([r[2] for r in rows])
-    near = (sigs[:, None] == sigs[None]).sum(axis=2) >= NEAR
-    near &= 100 * np.minimum(n[:, None], n[None]) >= PERCENT * np.maximum(n[:, None], n[None])
-    np.fill_diagonal(near, False)
-    bits = np.packbits(near, axis=1)
-    return [(int(k), rows[k][1], bits[k].tobytes()) for k in np.flatnonzero(near.any(axis=1))]
+    like = (sigs[:, None] == sigs[None]).sum(axis=2)
+    fits = 100 * np.minimum(n[:, None], n[None]) >= PERCENT * np.maximum(n[:, None], n[None])
+    # Pairs whose sizes cannot fit join only what nothing else does; ``emit`` drops them.
+    pairs, likest = tree(np.where(fits, like, -1)), fits & (like >= NEAR)
+    np.fill_diagonal(likest, False)
+    for a, b in pairs:
+        likest[a, b] = likest[b, a] = False
+    bits = np.packbits(likest, axis=1)
+    return pairs, [(int(k), rows[k][1], bits[k].tobytes()) for k in np.flatnonzero(likest.any(axis=1))]
+
+
+def tree(like: np.ndarray) -> list[tuple[int, int]]:
+    """The pairs of a spanning tree with the largest sum of ``like`` (symmetric)."""
+    best, at, pairs = like[0].copy(), np.zeros(len(like), np.intp), []
+    best[0] = -2
+    for _ in range(len(like) - 1):
+        k = int(best.argmax())
+        pairs.append((int(at[k]), k))
+        # -2: in the tree.
+        better = (like[k] > best) & (best > -2)
+        best[better], at[better], best[k] = like[k][better], k, -2
+    return pairs
 
 
 PAIR = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType()), T.StructField("edge", T.IntegerType()), T.StructField("part", T.IntegerType()), T.StructField("ord", T.IntegerType()), T.StructField("key", T.BinaryType()), T.StructField("n", T.LongType())])
@@ -275,9 +284,10 @@ def candidates(classes: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
                 b_s.append(max(x[1], y[1]))
 
         def block(rows):
-            found = near_rows(rows)
+            pairs, found = near_rows(rows)
             number = next(blocks) if found else None
             more.extend((rep, number, BLOCK, pos, None, bits, None) for pos, rep, bits in found)
+            return pairs
 
         def member(row):
             more.append((row[1], None, RUN, None, order, row[0][: 2 * LEAST], row[2]))
@@ -325,25 +335,78 @@ def _placed(rows: DataFrame, linked: DataFrame) -> DataFrame:
 
 
 def apart(regions: DataFrame, linked: DataFrame) -> DataFrame:
-    """a, b: pairs of one region that are near the threshold and in two components."""
+    """block, pos, rep, bits: rows of regions with the partners that are near the threshold and in another component."""
     groups = (
         _placed(regions, linked).groupBy("block").agg(F.min("component").alias("least"), F.max("component").alias("most"), F.collect_list(F.struct("pos", "rep", "bits", "component")).alias("rows"))
-        .where("least <> most").select("rows")
+        .where("least <> most").select("block", "rows")
     )
 
     def make():
         def f(c):
-            out = set()
-            for rows in c["rows"]:
-                at = {r["pos"]: r for r in rows}
+            out = []
+            for block, rows in zip(c["block"], c["rows"]):
+                of = {r["pos"]: r["component"] for r in rows}
                 for r in rows:
-                    for p in np.flatnonzero(np.unpackbits(np.frombuffer(r["bits"], np.uint8))).tolist():
-                        if at[p]["component"] != r["component"]:
-                            out.add((min(r["rep"], at[p]["rep"]), max(r["rep"], at[p]["rep"])))
-            return {"a": [a for a, _ in out], "b": [b for _, b in out]}
+                    bits = np.unpackbits(np.frombuffer(r["bits"], np.uint8))
+                    for p in np.flatnonzero(bits).tolist():
+                        bits[p] = of[p] != r["component"]
+                    if bits.any():
+                        out.append((block, r["pos"], r["rep"], np.packbits(bits).tobytes()))
+            return {k: [r[i] for r in out] for i, k in enumerate(("block", "pos", "rep", "bits"))}
+        return f
+
+    return map_arrow(groups, make, "block long, pos int, rep long, bits binary", rows=64)
+
+
+def common_sizes(sets: list[np.ndarray], wide: int = 1 << 16) -> np.ndarray:
+    """Sizes of the intersections of all pairs of sets; laid out ``wide`` values at a time."""
+    own, flat = np.repeat(np.arange(len(sets)), [len(s) for s in sets]), np.concatenate(sets)
+    _, column, times = np.unique(flat, return_inverse=True, return_counts=True)
+    order = np.argsort(column[keep := np.flatnonzero(times[column] > 1)], kind="stable")
+    own, column = own[keep][order], column[keep][order]
+    column = np.cumsum(np.r_[False, column[1:] != column[:-1]][: len(column)])
+    both = np.zeros((len(sets), len(sets)), np.int64)
+    for k in range(0, int(column[-1]) + 1 if len(column) else 0, wide):
+        a, b = np.searchsorted(column, (k, k + wide))
+        laid = np.zeros((len(sets), int(column[b - 1]) + 1 - k), np.float32)
+        laid[own[a:b], column[a:b] - k] = 1
+        both += (laid @ laid.T).astype(np.int64)
+    both[np.diag_indices(len(sets))] = [len(s) for s in sets]
+    return both
+
+
+def compare(documents: DataFrame, rows: DataFrame, size: int) -> DataFrame:
+    """a, b: the pairs of ``rows`` (of ``apart``) that hold on full sets; a class is in a region of each order, so it is sent to about ORDERS regions at most."""
+    wanted = rows.groupBy("rep").agg(F.collect_list(F.struct("block", "pos", "bits")).alias("blocks"))
+    texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(wanted, F.col("doc_id") == F.col("rep")).select("doc_id", "text", "blocks")
+
+    def make():
+        shingler = Shingler(size)
+
+        def f(c):
+            sets = [s.tobytes() for s in shingler.sets(c["text"])]
+            found = [(x["block"], x["pos"], x["bits"], d, s) for d, s, xs in zip(c["doc_id"], sets, c["blocks"]) for x in xs]
+            return {k: [r[i] for r in found] for i, k in enumerate(("block", "pos", "bits", "doc_id", "shingles"))}
         return f
 
-    return map_arrow(groups, make, "a long, b long", rows=64).distinct()
+    def check(tables):
+        # Rows of one id have one place; the first text of them counts.
+        at = {}
+        for pos, *row in zip(*(tables.column(k).to_pylist() for k in ("pos", "doc_id", "bits", "shingles"))):
+            at.setdefault(pos, row)
+        places, rows = list(at), list(at.values())
+        sets = [np.frombuffer(r[2], np.uint64) for r in rows]
+        both, n, number = common_sizes(sets), np.array([len(s) for s in sets]), {p: k for k, p in enumerate(places)}
+        linked = 100 * both >= PERCENT * (n[:, None] + n[None] - both)
+        out = set()
+        for k, (rep, bits, _) in enumerate(rows):
+            for p in np.flatnonzero(np.unpackbits(np.frombuffer(bits, np.uint8))).tolist():
+                if p in number and linked[k, number[p]]:
+                    out.add((min(rep, rows[number[p]][0]), max(rep, rows[number[p]][0])))
+        return pa.table({"a": pa.array([a for a, _ in out], pa.int64()), "b": pa.array([b for _, b in out], pa.int64())})
+
+    sets = map_arrow(texts, make, "block long, pos int, bits binary, doc_id long, shingles binary", rows=64)
+    return sets.groupBy("block").applyInArrow(check, "a long, b long").distinct()
 
 
 def to_hubs(runs: DataFrame, links: DataFrame, linked: DataFrame) -> DataFrame:
@@ -355,8 +418,6 @@ def to_hubs(runs: DataFrame, links: DataFrame, linked: DataFrame) -> DataFrame:
     return met.select(F.least(F.col("rep"), -F.col("hub.last")).alias("a"), F.greatest(F.col("rep"), -F.col("hub.last")).alias("b")).distinct()
 
 
-
-
 def confirm(documents: DataFrame, pairs: DataFrame, size: int) -> DataFrame:
     """The pairs that hold on full sets.
 
@@ -368,10 +429,13 @@ def confirm(documents: DataFrame, pairs: DataFrame, size: int) -> DataFrame:
     ends = pairs.select(F.explode(F.array("a", "b")).alias("end")).groupBy("end", follows("end")).agg(F.count("*").alias("pairs"))
     sides = [ends.select(F.col("end").alias(x), F.col("pairs").alias(f"{x}_pairs")) for x in ("a", "b")]
     swap = F.col("b_pairs") > F.col("a_pairs")
-    pairs = pairs.join(sides[0], "a").join(sides[1], "b").select(F.when(swap, F.col("b")).otherwise(F.col("a")).alias("a"), F.when(swap, F.col("a")).otherwise(F.col("b")).alias("b"))
-    degrees = pairs.groupBy("a", follows("a")).agg(F.ceil(F.count("*") / MEMBERS).cast("int").alias("groups")).drop("_follows")
-    members = pairs.join(degrees, "a").select(F.col("b").alias("doc_id"), F.lit(0).alias("bucket"), F.col("a").alias("center"), F.pmod(F.xxhash64("b"), F.col("groups")).cast("int").alias("grp"))
-    owners = degrees.select(F.col("a").alias("doc_id"), F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("grp"), F.col("a").alias("center")).withColumn("bucket", (F.col("grp") / 64).cast("int"))
+    # A center's groups follow from all its pairs, also those that meet at their other end: no other join tells how many are its own.
+    groups = F.ceil(F.greatest("a_pairs", "b_pairs") / MEMBERS).cast("int")
+    members = pairs.join(sides[0], "a").join(sides[1], "b").select(
+        F.when(swap, F.col("a")).otherwise(F.col("b")).alias("doc_id"), F.lit(0).alias("bucket"), F.when(swap, F.col("b")).otherwise(F.col("a")).alias("center"),
+        F.pmod(F.xxhash64(F.when(swap, F.col("a")).otherwise(F.col("b"))), groups).cast("int").alias("grp"),
+    )
+    owners = members.select(F.col("center").alias("doc_id"), "grp", "center").distinct().withColumn("bucket", (F.col("grp") / 64).cast("int"))
     # As a member a class has no more centers than pairs, each with as many pairs or more; as a center 64 groups in each bucket.
     wanted = members.unionByName(owners).groupBy("doc_id", "bucket").agg(F.collect_list(F.struct("center", "grp")).alias("centers"))
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(wanted.drop("bucket"), "doc_id")
@@ -418,10 +482,16 @@ def find(documents: DataFrame, size: int = 2) -> DataFrame:
     links = checkpointed(confirm(documents, pairs, size))
     release(documents.sparkSession)
     linked = components(links)
-    further = checkpointed(apart(regions, linked).union(to_hubs(runs, links, linked)).distinct())
+    rest, hubs = checkpointed(apart(regions, linked)), checkpointed(to_hubs(runs, links, linked))
     release(documents.sparkSession)
-    if not further.isEmpty():
-        linked = components(links.union(confirm(documents, further, size)))
+    # What is linked already goes on as stars, a pair less than classes.
+    stars, further = linked.select(F.col("component").alias("a"), F.col("node").alias("b")), []
+    if not rest.isEmpty():
+        further.append(compare(documents, rest, size))
+    if not hubs.isEmpty():
+        further.append(confirm(documents, hubs, size))
+    if further:
+        linked = components(functools.reduce(DataFrame.union, further, stars))
     classed = classes.select("fp", "rep").join(linked, F.col("rep") == F.col("node"), "left").select("fp", F.coalesce("component", "rep").alias("component"))
     return (
         described.select("doc_id", "n", "fp").join(classed, "fp", "left")
