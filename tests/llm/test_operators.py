@@ -10,6 +10,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -494,6 +495,29 @@ def test_language_model_s_score_is_that_of_its_model(spark, small, documents, mo
         assert got[r.doc_id] == pytest.approx(want, rel=1e-4)
 
 
+def test_language_model_sends_rare_words_in_blocks(spark, documents, monkeypatch):
+    """Shuffled rows of scoring: one a chunk of texts and bucket, and not one a text and rare word; the scores stay, however texts are cut into chunks."""
+    training = documents.where(crc_mod("doc_id", 10) != 0)
+    counts = lm.checkpointed(lm.count_words(training))
+    model = lm.fit(training, counts, 300)
+    whole = sorted(map(tuple, lm.score(documents.union(documents), model, counts, F.lit(True)).collect()))
+    monkeypatch.setattr(lm, "CHUNK_WORDS", 3000)
+    parts = sorted(map(tuple, lm.score(documents.union(documents), model, counts, F.lit(True)).collect()))
+    assert len(parts) == 2 * documents.count() and [p[:5] for p in parts] == [w[:5] for w in whole]
+    assert all(p[5:] == pytest.approx(w[5:]) for p, w in zip(parts, whole))
+    asked = lm._Asked(4)
+    for text in range(500):
+        asked.ask(text, collections.Counter({f"w{text}".encode(): 2, b"both": 1}))
+    asked.sums, asked.texts = [([None] * 500, np.ones(500, int), np.ones(500, int), np.zeros(500), np.zeros(500))], 500
+    (rows,) = asked.rows(7)
+    assert rows.num_rows == 5
+    table_ = pa.table({"word": ["both", "w3"], "c": [9, 4]})
+    made = lm._summed(pa.concat_tables([lm._answer(pa.Table.from_batches([rows]), table_)]))
+    assert made.num_rows == 500 and made.column("doc_id").null_count == 500
+    assert made.column("n_known").to_pylist() == [4 if k == 3 else 2 for k in range(500)]
+    assert made.column("base").to_pylist()[3] == pytest.approx(math.log10(9.1) + 2 * math.log10(4.1))
+
+
 def test_language_model_on_odd_tables(spark, odd, none, tmp_path):
     for name, df, n in (("odd", odd, len(ODD)), ("none", none, 0)):
         df.write.parquet(f"{tmp_path}/{name}/documents.parquet")
