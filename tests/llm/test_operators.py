@@ -524,3 +524,35 @@ def test_language_model_on_odd_tables(spark, odd, none, tmp_path):
         made = lm.op10_lm(spark, f"{tmp_path}/{name}").collect()
         assert len(made) == n and all(math.isfinite(r.score) and math.isfinite(r.base_score) for r in made)
         assert {r.n_tokens for r in made if r.doc_id in (2, 3)} <= {1}
+
+
+def test_workers_get_long_texts_a_few_at_a_time(spark):
+    """What an executor and a worker hold at once is bounded by bytes: 40 texts of a megabyte are not one batch."""
+    from vigora.llm.common import BATCH_BYTES, map_arrow
+
+    rows = spark.range(0, 40, 1, 1).select(F.expr("repeat('word and ', 125000)").alias("text"))
+    made = [r.n for r in map_arrow(rows, lambda: lambda c: {"n": [sum(map(len, c["text"]))]}, "n long").collect()]
+    assert sum(made) == 40 * 9 * 125_000 and max(made) <= BATCH_BYTES + 9 * 125_000
+
+
+def test_workers_keep_no_model_of_a_stage_that_is_over(spark, documents):
+    """A worker remembers its lattice from task to task, but not into the tasks of other operators."""
+    import public_tokenizers
+
+    from vigora.llm.common import map_arrow
+
+    def count():
+        import gc
+
+        return lambda c: {"n": [sum(type(x).__name__ == "Lattice" for x in gc.get_objects())]}
+
+    def count_kept():
+        pieces.lattice(path)
+        return count()
+
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    parts = documents.repartition(4)
+    for _ in range(2):
+        assert pieces.encode_all(parts, path).count() == documents.count()
+    assert {r.n for r in map_arrow(parts.select("text"), count_kept, "n long", keeps=True).collect()} == {1}
+    assert {r.n for r in map_arrow(parts.select("text"), count, "n long").collect()} == {0}

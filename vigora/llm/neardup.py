@@ -47,7 +47,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vigora.llm.common import checkpointed, map_arrow, release, table
+from vigora.llm.common import bounded_batches, checkpointed, forget, map_arrow, release, table, trim
 from vigora.llm.components import components, follows
 
 HASHES, ORDERS, DEPTH, LEAST, REGION, WINDOW, SEED = 64, 32, 12, 5, 64, 2, 8
@@ -275,6 +275,7 @@ def candidates(classes: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     def run(batches):
         from pyspark import TaskContext
 
+        forget()
         pid = TaskContext.get().partitionId()
         a_s, b_s, more, blocks = [], [], [], itertools.count(pid << 32)
 
@@ -308,12 +309,14 @@ def candidates(classes: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
             if len(a_s) + len(more) > 100_000:
                 yield made([(a, b, None, None, None, None, None) for a, b in dict.fromkeys(zip(a_s, b_s))] + more)
                 a_s.clear(), b_s.clear(), more.clear()
+            trim()
         region.flush()
         # The last run may go on in the next task.
         region.end_run(True)
         ends = first + [(r[0], None, WINDOW + k, *r[3:]) for k, r in enumerate(last)]
         yield made([(a, b, None, None, None, None, None) for a, b in dict.fromkeys(zip(a_s, b_s))] + more + ends)
 
+    bounded_batches(classes.sparkSession)
     found = checkpointed(ranged.mapInArrow(run, PAIR))
     # The last rows of each task and the first of the next: 2 * WINDOW rows a task, so few enough for the driver.
     ends = sorted(((r.part, r.edge, r.a, r.ord, bytes(r.key), r.n) for r in found.where("edge >= 0").collect()))
@@ -403,6 +406,7 @@ def compare(documents: DataFrame, rows: DataFrame, size: int) -> DataFrame:
             for p in np.flatnonzero(np.unpackbits(np.frombuffer(bits, np.uint8))).tolist():
                 if p in number and linked[k, number[p]]:
                     out.add((min(rep, rows[number[p]][0]), max(rep, rows[number[p]][0])))
+        trim()
         return pa.table({"a": pa.array([a for a, _ in out], pa.int64()), "b": pa.array([b for _, b in out], pa.int64())})
 
     sets = map_arrow(texts, make, "block long, pos int, bits binary, doc_id long, shingles binary", rows=64)
@@ -467,6 +471,7 @@ def confirm(documents: DataFrame, pairs: DataFrame, size: int) -> DataFrame:
                 both = len(np.intersect1d(own, s, assume_unique=True))
                 if 100 * both >= PERCENT * (len(own) + len(s) - both):
                     out.append(d)
+        trim()
         return pa.table({"a": pa.array([center] * len(out), pa.int64()), "b": pa.array(out, pa.int64())})
 
     return sets.groupBy("center", "grp").applyInArrow(check, "a long, b long")

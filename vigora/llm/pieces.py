@@ -39,7 +39,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from vigora.llm.common import Remembered, map_arrow, table
+from vigora.llm.common import Remembered, kept, map_arrow, table
 from vigora.llm.tries import Trie
 
 MARK = "▁"
@@ -268,10 +268,9 @@ def cheapest(costs, k: int) -> list[int]:
 SCHEMA = "doc_id long, n_pieces long, score double, n_best array<struct<score double, swaps array<struct<word int, ids array<int>>>>>, round_trip boolean, ids array<int>"
 
 
-@functools.lru_cache(maxsize=2)
 def lattice(path: str) -> Lattice:
     """One lattice a worker, with all that it remembers."""
-    return Lattice(path)
+    return kept(Lattice, path)
 
 
 def encode_all(documents: DataFrame, path: str, n: int = N_BEST) -> DataFrame:
@@ -303,7 +302,7 @@ def encode_all(documents: DataFrame, path: str, n: int = N_BEST) -> DataFrame:
             return {"doc_id": c["doc_id"], "n_pieces": np.diff(ends).tolist(), "score": scores, "n_best": n_best, "round_trip": whole, "ids": ids}
         return f
 
-    return map_arrow(documents.select("doc_id", "text"), make, SCHEMA, rows=256)
+    return map_arrow(documents.select("doc_id", "text"), make, SCHEMA, rows=256, keeps=True)
 
 
 def op5_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:

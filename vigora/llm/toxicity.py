@@ -34,7 +34,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigora.llm.common import crc_mod, map_arrow, table
+from vigora.llm.common import crc_mod, keep_texts, map_arrow, table
 
 #: Closed classes of the grammar, English, German, French, Spanish.
 TARGETS = "you your yourself they them he she him her people du dich dir ihr euch sie er tu toi te vous ils elles lui usted ustedes ellos ellas él ella vosotros".split()
@@ -293,13 +293,9 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def drop_toxic(documents: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``documents`` that score under ``threshold``, with their columns."""
-    names = documents.columns
 
-    def run(batches):
-        import pyarrow as pa
+    def make():
         scorer = model.scorer()
-        for batch in batches:
-            at = batch.schema.get_field_index("text")
-            yield batch.filter(pa.array([scorer(t)[0] < threshold for t in batch.column(at).to_pylist()], pa.bool_()))
+        return lambda text: scorer(text)[0] < threshold
 
-    return documents.mapInArrow(run, documents.schema).select(*names)
+    return keep_texts(documents, make)
