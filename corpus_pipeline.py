@@ -13,10 +13,12 @@ an empty table gives no rows.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 
 from vigora.llm import mixing, neardup, pieces, quality, toxicity
-from vigora.llm.common import checkpointed, table
+from vigora.llm.common import checkpointed, give_back, table
 
 #: Words in a shingle of the near-duplicate stage.
 SHINGLE = 5
@@ -49,13 +51,24 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return pieces.encode_all(docs, public_tokenizers.path("piece_bpe_32k.model"))
 
 
-STAGES = [
+def _relieved(stage):
+    """``stage``, begun when the driver and the executors have given back what the stage before it left."""
+
+    @functools.wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        give_back(spark)
+        return stage(spark, docs, sf_dir)
+
+    return run
+
+
+STAGES = [(name, _relieved(stage)) for name, stage in (
     ("toxicity", drop_toxic),
     ("quality", drop_poor),
     ("neardup", drop_near_copies),
     ("mixing", mix_sources),
     ("pieces", encode),
-]
+)]
 
 #: SQL cannot express the learned and hashed stages; tests hold them against brute force.
 ORACLE_SQL = None

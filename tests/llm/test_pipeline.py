@@ -65,6 +65,22 @@ def test_the_pipeline_on_odd_tables(spark, tmp_path):
         assert {r.doc_id for r in made} <= {r[0] for r in rows} and all(r.round_trip for r in made)
 
 
+def test_each_stage_begins_with_memory_given_back(spark, small, monkeypatch):
+    """Else a stage's Python workers grow beside the heap that the stage before has left."""
+    from vigora.llm import common
+
+    beans = spark._jvm.java.lang.management.ManagementFactory.getGarbageCollectorMXBeans
+    collections = lambda: sum(b.getCollectionCount() for b in beans())
+    before = collections()
+    common.collect_garbage(spark)
+    assert collections() > before
+    docs, asked = table(spark, small, "documents"), []
+    monkeypatch.setattr(corpus_pipeline, "give_back", lambda s: asked.append(s))
+    for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        stage(spark, docs.limit(20), small)
+        assert asked == [spark] * (k + 1)
+
+
 def test_every_operator_is_registered():
     names = set(__spark_entry__.queries())
     assert {f"op{n}" for n in range(1, 11)} == {n.partition("_")[0] for n in names if n.startswith("op")} and "pipeline" in names
